@@ -78,8 +78,12 @@ def decompose(series: DataFrame, params: ForecastParams = ForecastParams()) -> D
 
 
 def fit(components: DataFrame) -> DataFrame:
-    """One row per series: line, spread and the seasonal index by calendar month."""
+    """One row per series: line, spread, seasonal index and the history by month.
+
+    Both maps are bounded by the months of a series.
+    """
     season = F.map_from_entries(F.collect_set(F.struct("month", "seasonal")))
+    history = F.map_from_entries(F.collect_list(F.struct("ds", "y")))
     return components.groupBy("series").agg(
         F.first("slope").alias("slope"),
         F.first("intercept").alias("intercept"),
@@ -88,6 +92,7 @@ def fit(components: DataFrame) -> DataFrame:
         F.count("*").alias("months"),
         F.coalesce(F.stddev_samp("residual"), F.lit(0.0)).alias("sigma"),
         season.alias("season"),
+        history.alias("history"),
     )
 
 
@@ -101,7 +106,7 @@ def future_frame(model: DataFrame, params: ForecastParams = ForecastParams()) ->
 
 
 def predict(model: DataFrame, params: ForecastParams = ForecastParams()) -> DataFrame:
-    """(series, ds, is_future, trend, seasonal, yhat, lower, upper); pure column arithmetic."""
+    """Observed y, trend, seasonal, yhat and bounds per month; pure column arithmetic."""
     t = month_number(F.col("ds"), F.col("start")).cast("double")
     trend = F.col("intercept") + F.col("slope") * t
     additive = params.mode == ADDITIVE
@@ -120,7 +125,9 @@ def predict(model: DataFrame, params: ForecastParams = ForecastParams()) -> Data
         .withColumn("seasonal", seasonal)
         .withColumn("yhat", yhat)
         .select(
-            "series", "ds", "is_future", "trend", "seasonal", "yhat",
+            "series", "ds", "is_future",
+            F.try_element_at("history", F.col("ds")).alias("y"),
+            "trend", "seasonal", "yhat",
             lower.alias("lower"), (F.col("yhat") + margin).alias("upper"),
         )
     )
@@ -132,7 +139,7 @@ def forecast(series: DataFrame, params: ForecastParams = ForecastParams()) -> Da
 
 
 def future_only(prediction: DataFrame) -> DataFrame:
-    return prediction.where("is_future").drop("is_future")
+    return prediction.where("is_future").drop("is_future", "y")
 
 
 def summary(prediction: DataFrame, digits: int = 2) -> DataFrame:
@@ -166,13 +173,14 @@ def horizon_total(table: DataFrame) -> DataFrame:
     )
 
 
-def long_frame(series: DataFrame, prediction: DataFrame) -> DataFrame:
+def long_frame(prediction: DataFrame) -> DataFrame:
     """History and forecast as (series, label, ds, value, lower, upper)."""
-    history = series.select(
-        "series", F.lit("history").alias("label"), "ds", F.col("y").cast("double").alias("value")
-    )
-    future = future_only(prediction).select(
-        "series", F.lit("forecast").alias("label"), "ds", F.col("yhat").alias("value"),
-        "lower", "upper",
+    future = F.col("is_future")
+    return prediction.where(future | F.col("y").isNotNull()).select(
+        "series",
+        F.when(future, F.lit("forecast")).otherwise(F.lit("history")).alias("label"),
+        "ds",
+        F.when(future, F.col("yhat")).otherwise(F.col("y")).alias("value"),
+        F.when(future, F.col("lower")).alias("lower"),
+        F.when(future, F.col("upper")).alias("upper"),
     )
-    return history.unionByName(future, allowMissingColumns=True)

@@ -28,6 +28,19 @@ def shape(df: DataFrame, stage: str, columns: int | None = None) -> DataFrame:
     )
 
 
+def merged_shapes(merged: DataFrame, columns: int) -> DataFrame:
+    """Shape of each cleaned feed and of their union, in one pass over the union."""
+    counted = merged.groupingSets([[F.col("chain")], []], "chain").agg(
+        F.grouping("chain").alias("_all"), F.count("*").alias("rows")
+    )
+    stage = F.when(F.col("_all") == 1, F.lit("merged")).otherwise(
+        F.concat(F.lit("clean "), F.col("chain"))
+    )
+    return counted.select(
+        stage.alias("stage"), "rows", F.lit(columns).cast("bigint").alias("columns")
+    )
+
+
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null count and percentage of each column that has any."""
     counted = df.agg(
@@ -65,12 +78,16 @@ def value_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return exploded.groupBy("column_name", "value").agg(F.count("*").alias("rows"))
 
 
-def date_range(df: DataFrame, stage: str, column: str = "order_purchase_date") -> DataFrame:
-    return df.agg(
+def date_ranges(df: DataFrame, column: str = "order_purchase_date") -> DataFrame:
+    """First and last date and dated rows, per chain and over all, in one pass."""
+    ranged = df.groupingSets([[F.col("chain")], []], "chain").agg(
+        F.grouping("chain").alias("_all"),
         F.min(column).cast("string").alias("first_date"),
         F.max(column).cast("string").alias("last_date"),
         F.count(column).alias("dated_rows"),
-    ).select(F.lit(stage).alias("stage"), "first_date", "last_date", "dated_rows")
+    )
+    stage = F.when(F.col("_all") == 1, F.lit("merged")).otherwise(F.col("chain"))
+    return ranged.select(stage.alias("stage"), "first_date", "last_date", "dated_rows")
 
 
 def bad_dates(parsed: DataFrame, cfg: FeedConfig) -> DataFrame:

@@ -100,7 +100,7 @@ def verify(orders: DataFrame) -> DataFrame:
 
     def millions(column: str) -> Column:
         dtype = orders.schema[column].dataType
-        total = F.sum(N.exact_money(F.col(column), dtype))
+        total = N.exact_sum(F.col(column), dtype)
         scaled = N.scaled_total(total, N.money_scale(dtype), 1_000_000)
         return F.round(scaled, 2).cast("double")
 
@@ -116,7 +116,7 @@ def verify(orders: DataFrame) -> DataFrame:
 def totals(orders: DataFrame) -> DataFrame:
     """Revenue and profit in millions per chain and over all, in one pass."""
     money = {
-        c: F.sum(N.exact_money(F.col(c), orders.schema[c].dataType)).cast("double") / 1_000_000
+        c: N.exact_sum(F.col(c), orders.schema[c].dataType).cast("double") / 1_000_000
         for c in ("order_total_cost", "profit")
     }
     summed = orders.groupingSets([[F.col("chain")], []], "chain").agg(

@@ -20,7 +20,7 @@ def monthly_by_chain(
         orders.where(date.isNotNull())
         .groupBy(F.col("chain").alias("series"), F.trunc(date, "MM").alias("ds"))
         .agg(
-            F.sum(N.exact_money(F.col(value), dtype)).alias("y"),
+            N.exact_sum(F.col(value), dtype).alias("y"),
             F.max(date).alias("_seen"),
         )
     )

@@ -114,6 +114,16 @@ CATALOGUE: dict[str, ReportSpec] = {
             mean("avg_order", REVENUE, None),
         ),
     ),
+    "dash_totals": ReportSpec(
+        (),
+        (
+            total("revenue", REVENUE, exact=True),
+            total("profit", PROFIT, exact=True),
+            orders_distinct,
+            distinct("restaurants", "restaurant_id"),
+            mean("avg_order", REVENUE, None),
+        ),
+    ),
     "dash_chain": ReportSpec(
         ("chain",),
         (

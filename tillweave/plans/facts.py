@@ -27,11 +27,11 @@ def grouped_once(lines: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFra
     null in its rows.
     """
     keys = list(dict.fromkeys(k for keys in key_sets for k in keys))
-    money = {c: N.exact_money(F.col(c), lines.schema[c].dataType) for c in ("order_total_cost", "profit")}
+    money = {c: N.exact_sum(F.col(c), lines.schema[c].dataType) for c in ("order_total_cost", "profit")}
     grouped = lines.groupingSets([[F.col(k) for k in ks] for ks in key_sets], *keys).agg(
         F.grouping_id().alias("_gid"),
-        F.sum(money["order_total_cost"]).alias("revenue"),
-        F.sum(money["profit"]).alias("profit"),
+        money["order_total_cost"].alias("revenue"),
+        money["profit"].alias("profit"),
         F.sum("quantity").alias("units"),
         F.count("*").alias("rows"),
         F.count("order_total_cost").alias("priced"),

@@ -35,42 +35,67 @@ def distinct_periods(star: Star) -> DataFrame:
 
 
 def monthly_spine(star: Star) -> DataFrame:
-    """The trend on a shared axis: every chain gets every period, missing ones null."""
-    month = F.make_date("order_year", "order_month", F.lit(1))
-    trend = monthly_trend(star).withColumn("month_start", month)
-    # One row per chain, widened to the range of all chains.
-    every_chain = Window.partitionBy(F.lit(1))
-    ranges = trend.groupBy("chain").agg(
-        F.min("month_start").alias("_lo"), F.max("month_start").alias("_hi")
+    """The trend on a shared axis: every chain gets every period, missing ones null.
+
+    Gaps are filled by stretching each chain's rows over the months up to its
+    next one, so the order lines are read once and nothing is joined.
+    """
+    trend = monthly_trend(star).select(
+        "chain",
+        F.make_date("order_year", "order_month", F.lit(1)).alias("month_start"),
+        "revenue_k",
+        "profit_k",
     )
-    months = F.sequence(
-        F.min("_lo").over(every_chain),
-        F.max("_hi").over(every_chain),
-        F.make_interval(months=F.lit(1)),
+    every = Window.partitionBy(F.lit(1))
+    within = Window.partitionBy("chain").orderBy("month_start")
+    first = F.lag("month_start").over(within).isNull()
+    stretched = trend.select(
+        "*",
+        F.when(first, F.min("month_start").over(every)).otherwise(F.col("month_start")).alias("_lo"),
+        F.coalesce(
+            F.add_months(F.lead("month_start").over(within), -1), F.max("month_start").over(every)
+        ).alias("_hi"),
     )
-    axis = ranges.select("chain", months.alias("_months")).select(
-        "chain", F.explode("_months").alias("month_start")
+    months = F.explode(F.sequence("_lo", "_hi", F.make_interval(months=F.lit(1))))
+    filled = stretched.withColumn("_month", months).select(
+        "chain",
+        F.col("_month").alias("month_start"),
+        *[
+            F.when(F.col("_month") == F.col("month_start"), F.col(c)).alias(c)
+            for c in ("revenue_k", "profit_k")
+        ],
+        (F.col("_month") == F.col("month_start")).alias("_seen"),
     )
-    seen = trend.select("month_start").distinct()
+    anywhere = F.max("_seen").over(Window.partitionBy("month_start"))
     return (
-        axis.join(seen, "month_start", "left_semi")
-        .join(trend.select("chain", "month_start", "revenue_k", "profit_k"),
-              ["chain", "month_start"], "left")
+        filled.withColumn("_anywhere", anywhere)
+        .where("_anywhere")
+        .drop("_seen", "_anywhere")
         .withColumn("period", F.date_format("month_start", "MMMM yyyy"))
     )
 
 
 def season_spine(star: Star) -> DataFrame:
-    """Season report in fixed season order; a chain without a season shows null."""
+    """Season report in fixed season order; a chain without a season shows null.
+
+    The few seasons of a chain travel as one map, looked up for each season of
+    the fixed list, so the order lines are read once.
+    """
     report = run_report(CATALOGUE["report_season"], star)
-    domain = F.posexplode(F.array(*[F.lit(s) for s in SEASONS]))
-    spine = report.select("chain").distinct().select("chain", domain.alias("_pos", "season"))
-    return (
-        spine.join(report, ["chain", "season"], "left")
-        .withColumn("season_rank", (F.col("_pos") + 1).cast("int"))
-        .drop("_pos")
-        .orderBy("chain", "season_rank")
+    figures = F.struct("revenue_k", "avg_order")
+    found = F.map_from_entries(F.collect_list(F.struct("season", figures)))
+    per_chain = report.groupBy("chain").agg(found.alias("_found"))
+    seasons = F.posexplode(F.array(*[F.lit(s) for s in SEASONS])).alias("_pos", "season")
+    listed = per_chain.select("chain", "_found", seasons).withColumn(
+        "_figures", F.try_element_at("_found", F.col("season"))
     )
+    return listed.select(
+        "chain",
+        "season",
+        "_figures.revenue_k",
+        "_figures.avg_order",
+        (F.col("_pos") + 1).cast("int").alias("season_rank"),
+    ).orderBy("chain", "season_rank")
 
 
 def bottom_products(star: Star, n: int = 10) -> DataFrame:
@@ -93,12 +118,29 @@ def method_share(star: Star) -> DataFrame:
     )
 
 
+def kpi_cards(star: Star, selection: Selection) -> DataFrame:
+    """The dashboard's headline figures as text."""
+    report = run_report(CATALOGUE["dash_totals"], star, selection)
+    return report.select(
+        N.millions_text(F.col("revenue")).alias("total_revenue"),
+        N.millions_text(F.col("profit")).alias("total_profit"),
+        F.format_number("orders", 0).alias("unique_orders"),
+        F.format_number("restaurants", 0).alias("restaurants"),
+        F.concat(F.lit("$"), F.format_number(F.rint("avg_order"), 0)).alias("avg_order_value"),
+    )
+
+
+def with_headings(report: DataFrame) -> DataFrame:
+    """Column names as table headings."""
+    return report.toDF(*[N.heading(c) for c in report.columns])
+
+
 def dash_monthly(star: Star, selection: Selection) -> DataFrame:
     """Revenue in thousands per calendar month and chain."""
     lines = keep_selected(star.orders, selection)
     lines = keep_known(lines, ["order_purchase_date", "chain"])
     dtype = lines.schema["order_total_cost"].dataType
-    revenue = F.sum(N.exact_money(F.col("order_total_cost"), dtype)).cast("double") / K
+    revenue = N.exact_sum(F.col("order_total_cost"), dtype).cast("double") / K
     # Grouping by the month's first day keeps text formatting off the row path.
     monthly = lines.groupBy(
         F.trunc("order_purchase_date", "MM").alias("_month"), "chain"

@@ -35,6 +35,26 @@ _report(
           {_raw_mean(_REV)} AS avg_order
         FROM picked""",
 )
+
+
+def _millions_text(column: str) -> str:
+    exact = f"CAST(SUM({column}) AS DECIMAL(28,0)) * 0.000001"
+    return f"'$' || CAST(round_even({exact}, 1) AS VARCHAR) || 'M'"
+
+
+@registered(
+    "dash_kpi_cards",
+    f"""SELECT {_millions_text(_REV)} AS total_revenue, {_millions_text(_PROFIT)} AS total_profit,
+          format('{{:,}}', {count_of("order_number")}) AS unique_orders,
+          format('{{:,}}', {count_of("restaurant_id")}) AS restaurants,
+          '$' || format('{{:,}}', CAST(round_even({_raw_mean(_REV)}, 0) AS BIGINT))
+            AS avg_order_value
+        FROM picked""",
+)
+def dash_kpi_cards(spark, sf_dir):
+    return shaped.kpi_cards(_star(spark, sf_dir, "dash_totals"), PICK)
+
+
 _report(
     "dash_chain",
     f"""SELECT chain, {plain(_REV)} AS revenue, {plain(_PROFIT)} AS profit,
@@ -125,11 +145,6 @@ _report(
 )
 
 
-def _millions_text(column: str) -> str:
-    exact = f"CAST(SUM({column}) AS DECIMAL(28,0)) * 0.000001"
-    return f"'$' || CAST(round_even({exact}, 1) AS VARCHAR) || 'M'"
-
-
 @registered(
     "dash_state_table",
     f"""SELECT r.restaurant_state AS state, {_millions_text("o.order_total_cost")} AS revenue,

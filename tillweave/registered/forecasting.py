@@ -243,6 +243,5 @@ def forecast_total(spark, sf_dir):
        SELECT series, 'forecast', {_ISO}, {_sql_m("yhat")} FROM predicted WHERE is_future""",
 )
 def forecast_long(spark, sf_dir):
-    series = _every(spark, sf_dir)
-    frame = Fc.long_frame(series, Fc.forecast(series, _MODEL))
+    frame = Fc.long_frame(_prediction(spark, sf_dir))
     return R.iso_dates(frame.select("series", "label", "ds", _m("value").alias("value_m")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillweave import schema as S
 from tillweave.operators import cleaning as Clean
@@ -29,12 +28,16 @@ def _union(parts):
 )
 def profile_shape(spark, sf_dir):
     """Shapes of the raw, cleaned and merged stages."""
-    raws = {cfg.chain: B.raw_feed(spark, sf_dir, cfg) for cfg in B.FEEDS}
-    cleans = {c.chain: Clean.clean_feed(raws[c.chain], c) for c in B.FEEDS}
-    stages = {f"raw {c}": df.drop(S.ROW_ORDINAL) for c, df in raws.items()}
-    stages |= {f"clean {c}": df.drop(*S.BOOKKEEPING) for c, df in cleans.items()}
-    stages["merged"] = Clean.merge_feeds([df.drop(*S.BOOKKEEPING) for df in cleans.values()])
-    return _union([Q.shape(df, name) for name, df in stages.items()])
+    parts, cleaned = [], []
+    for cfg in B.FEEDS:
+        raw = B.raw_feed(spark, sf_dir, cfg)
+        width = len(raw.drop(S.ROW_ORDINAL).columns)
+        # Counting needs one column; asking for one spares the feed's joins.
+        narrow = B.raw_feed(spark, sf_dir, cfg, [S.ROW_ORDINAL])
+        parts.append(Q.shape(narrow, f"raw {cfg.chain}", width))
+        cleaned.append(Clean.clean_feed(raw, cfg).drop(*S.BOOKKEEPING))
+    merged = Clean.merge_feeds(cleaned)
+    return _union([*parts, Q.merged_shapes(merged, len(merged.columns))])
 
 
 def _null_sql(column: str) -> str:
@@ -82,9 +85,7 @@ def _range_sql(stage: str, where: str) -> str:
 )
 def profile_dates(spark, sf_dir):
     lines = B.order_lines(spark, sf_dir, ["chain", "order_purchase_date"])
-    parts = [Q.date_range(lines, "merged")]
-    parts += [Q.date_range(lines.where(F.col("chain") == c.chain), c.chain) for c in B.FEEDS]
-    return _union(parts)
+    return Q.date_ranges(lines)
 
 
 _RAW_DATES = """(SELECT l.l_linestatus AS chain,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -22,14 +23,11 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system it names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def read_optional_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The file if it is there, otherwise an empty frame of the same schema."""
-    if path_exists(spark, path):
+    try:
         return read_csv(spark, path, schema)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

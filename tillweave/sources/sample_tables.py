@@ -8,8 +8,9 @@ rules so that every lenient step has something to do.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave import schema as S
@@ -63,52 +64,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(name: str) -> Column:
-    return F.col(name).cast(S.MONEY)
-
-
-def _seconds() -> Column:
-    return (F.col("l_orderkey") * 7919) % 86400
-
-
-def _line_columns() -> dict[str, Column]:
-    net = _money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    in_a = F.col("l_linestatus") == FEED_A.chain
-    clock = F.format_string("%02d:%02d", F.floor(_seconds() / 3600), F.floor(_seconds() % 3600 / 60))
-    known_time = F.col("l_orderkey") % 50 != 1
-    flag = F.col("l_returnflag")
-    return {
-        "chain": F.col("l_linestatus"),
-        S.FEED_RANK: F.when(in_a, FEED_A.rank).otherwise(FEED_B.rank),
-        S.ROW_ORDINAL: F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-        "order_number": F.when(~in_a | (F.col("l_orderkey") % 50 != 0), F.col("l_orderkey")),
-        "restaurant_id": F.col("l_suppkey"),
-        "order_purchase_time": F.when(known_time, clock),
-        "time_of_day": F.when(known_time & (_seconds() < 43200), F.lit("AM")).otherwise(F.lit("PM")),
-        "coupon_used": F.when(F.col("l_discount") > 0, F.lit("Yes")).otherwise(F.lit("No")),
-        "alcohol_purchased": F.when(F.col("l_tax") > 0, F.lit("Yes")).otherwise(F.lit("No")),
-        "has_children": F.when(flag == "R", F.lit("Yes")).when(flag == "N", F.lit("No")),
-        "item_number": F.col("l_partkey"),
-        "quantity": F.col("l_quantity").cast("bigint"),
-        "item_total_cost": _money("l_extendedprice"),
-        "profit": net.cast(S.PROFIT),
-    }
+# Column rules of the binding, as SQL text.  The sample money columns are
+# doubles of two decimals; scaling them to whole cents first is exact and much
+# cheaper per row than a double-to-decimal cast.
 
 
-def _order_columns() -> dict[str, Column]:
-    date = F.col("o_orderdate").cast("date")
-    known = (F.year(date) != SENTINEL_YEAR) & (F.col("o_orderkey") % 97 != 0)
-    clean = F.when(known, date)
-    return {
-        "customer_id": F.col("o_custkey").cast("string"),
-        "order_purchase_date": clean,
-        "order_month": F.month(clean),
-        "order_month_name": C.month_name(clean),
-        "order_year": F.year(clean),
-        "season": C.season_of(F.month(clean)),
-        "order_purchase_method": F.col("o_orderpriority"),
-        "order_total_cost": _money("o_totalprice"),
-    }
+def _units(units: str, scale: int) -> str:
+    unit = format(Decimal(1).scaleb(-scale), "f")
+    return f"CAST(CAST({units} AS DECIMAL(18,0)) * {unit}BD AS DECIMAL(18,{scale}))"
+
+
+def _money(column: str) -> str:
+    return _units(f"CAST(rint({column} * 100D) AS BIGINT)", S.MONEY.scale)
+
+
+_NET = _units(
+    "CAST(rint(l_extendedprice * 100D) AS BIGINT) * (100 - CAST(rint(l_discount * 100D) AS BIGINT))",
+    S.PROFIT.scale,
+)
+_SECONDS = "(l_orderkey * 7919 % 86400)"
+_HOUR, _MINUTE = f"{_SECONDS} DIV 3600", f"{_SECONDS} % 3600 DIV 60"
+_DAY = (
+    f"CASE WHEN year(o_orderdate) <> {SENTINEL_YEAR} AND o_orderkey % 97 <> 0"
+    " THEN CAST(o_orderdate AS DATE) END"
+)
+_MONTH = f"month({_DAY})"
+
+_LINE_SQL = {
+    "chain": "l_linestatus",
+    S.FEED_RANK: f"CASE WHEN l_linestatus = '{FEED_A.chain}' THEN {FEED_A.rank} ELSE {FEED_B.rank} END",
+    S.ROW_ORDINAL: "l_orderkey * 10 + l_linenumber",
+    "order_number": f"CASE WHEN l_linestatus <> '{FEED_A.chain}' OR l_orderkey % 50 <> 0 THEN l_orderkey END",
+    "restaurant_id": "l_suppkey",
+    "order_purchase_time": f"CASE WHEN l_orderkey % 50 <> 1 THEN format_string('%02d:%02d', {_HOUR}, {_MINUTE}) END",
+    "time_of_day": f"CASE WHEN l_orderkey % 50 <> 1 AND {_SECONDS} < 43200 THEN 'AM' ELSE 'PM' END",
+    "coupon_used": "CASE WHEN l_discount > 0 THEN 'Yes' ELSE 'No' END",
+    "alcohol_purchased": "CASE WHEN l_tax > 0 THEN 'Yes' ELSE 'No' END",
+    "has_children": "CASE l_returnflag WHEN 'R' THEN 'Yes' WHEN 'N' THEN 'No' END",
+    "item_number": "l_partkey",
+    "quantity": "CAST(l_quantity AS BIGINT)",
+    "item_total_cost": _money("l_extendedprice"),
+    "profit": _NET,
+}
+
+_ORDER_SQL = {
+    "customer_id": "CAST(o_custkey AS STRING)",
+    "order_purchase_date": _DAY,
+    "order_month": _MONTH,
+    "order_month_name": f"date_format({_DAY}, 'MMMM')",
+    "order_year": f"year({_DAY})",
+    "season": f"CASE WHEN {_MONTH} IN (12, 1, 2) THEN 'Winter' WHEN {_MONTH} IN (3, 4, 5) THEN 'Spring'"
+    f" WHEN {_MONTH} IN (6, 7, 8) THEN 'Summer' WHEN {_MONTH} IS NOT NULL THEN 'Fall' END",
+    "order_purchase_method": "o_orderpriority",
+    "order_total_cost": _money("o_totalprice"),
+}
 
 
 _PLACE_COLUMNS = S.LOCATION_COLUMNS
@@ -119,8 +128,8 @@ def _assemble(
     lines: DataFrame,
     spark: SparkSession,
     sf_dir: str,
-    line_exprs: dict[str, Column],
-    order_exprs: dict[str, Column],
+    line_sql: dict[str, str],
+    order_sql: dict[str, str],
     need: set[str],
 ) -> DataFrame:
     """Lines with the needed columns, joining only the tables those come from.
@@ -129,103 +138,102 @@ def _assemble(
     hinted: small sides are broadcast by their size and large ones shuffled,
     with skew handled by adaptive execution.
     """
-    from_orders = {n: e for n, e in order_exprs.items() if n in need}
+    from_lines = [f"{e} AS {n}" for n, e in line_sql.items() if n in need]
+    from_orders = [f"{e} AS {n}" for n, e in order_sql.items() if n in need]
     wants_place = bool(need & set(_PLACE_COLUMNS))
     wants_customer = wants_place or "gender" in need
     wants_order = bool(from_orders) or wants_customer
     wants_part = bool(need & set(_PART_COLUMNS))
 
-    keys = []
     if wants_order:
-        keys.append(F.col("l_orderkey").alias("_order"))
+        from_lines.append("l_orderkey AS _order")
     if wants_part:
-        keys.append(F.col("l_partkey").alias("_part"))
-    frame = lines.select(*keys, *[e.alias(n) for n, e in line_exprs.items() if n in need])
+        from_lines.append("l_partkey AS _part")
+    frame = lines.selectExpr(*from_lines)
     if wants_order:
-        orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("_order"),
-            F.col("o_custkey").alias("_customer"),
-            *[e.alias(n) for n, e in from_orders.items()],
+        orders = table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS _order", "o_custkey AS _customer", *from_orders
         )
         if wants_customer:
-            customers = table(spark, sf_dir, "customer").select(
-                F.col("c_custkey").alias("_customer"),
-                F.col("c_nationkey").alias("_nation"),
-                F.col("c_mktsegment").alias("gender"),
+            customers = table(spark, sf_dir, "customer").selectExpr(
+                "c_custkey AS _customer", "c_nationkey AS _nation", "c_mktsegment AS gender"
             )
             if wants_place:
-                nations = table(spark, sf_dir, "nation").select(
-                    F.col("n_nationkey").alias("_nation"),
-                    F.col("n_name").alias("restaurant_city"),
-                    F.col("n_name").alias("restaurant_state"),
-                    (F.col("n_nationkey") + 10000).cast("bigint").alias("restaurant_zip_code"),
+                nations = table(spark, sf_dir, "nation").selectExpr(
+                    "n_nationkey AS _nation",
+                    "n_name AS restaurant_city",
+                    "n_name AS restaurant_state",
+                    "CAST(n_nationkey + 10000 AS BIGINT) AS restaurant_zip_code",
                 )
                 customers = customers.join(nations, "_nation")
             orders = orders.join(customers, "_customer")
         frame = frame.join(orders, "_order")
     if wants_part:
-        parts = table(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("_part"),
-            F.col("p_name").alias("item_description"),
-            F.col("p_brand").alias("item_code"),
-            F.col("p_type").alias("item_type"),
-            _money("p_retailprice").alias("menu_price"),
+        # Each feed's dictionary is applied here, once per part, not per line.
+        parts = table(spark, sf_dir, "part").selectExpr(
+            "p_partkey AS _part",
+            "p_name AS item_description",
+            "p_brand AS item_code",
+            "p_type AS item_type",
+            f"{_money('p_retailprice')} AS menu_price",
         )
+        if "item_category" in need:
+            parts = parts.withColumns(
+                {
+                    f"_category_{feed.rank}": C.relabel(F.col("item_type"), feed.category_map, True)
+                    for feed in FEEDS
+                }
+            )
         frame = frame.join(parts, "_part")
     return frame
 
 
 def order_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Canonical cleaned order lines holding the asked-for columns."""
-    wanted = list(dict.fromkeys(columns or (*S.LINE_COLUMNS, *S.BOOKKEEPING)))
+    if columns is None:
+        columns = (*S.LINE_COLUMNS, *S.BOOKKEEPING)
+    wanted = list(dict.fromkeys(columns))
     need = set(wanted)
     if "item_category" in need:
         need |= {"item_type", "chain"}
     source = table(spark, sf_dir, "lineitem")
-    frame = _assemble(source, spark, sf_dir, _line_columns(), _order_columns(), need)
+    frame = _assemble(source, spark, sf_dir, _LINE_SQL, _ORDER_SQL, need)
     if "item_category" in need:
-        category = F.col("item_type")
-        for feed in FEEDS:
-            mapped = C.relabel(F.col("item_type"), feed.category_map, keep_unmapped=True)
-            category = F.when(F.col("chain") == feed.chain, mapped).otherwise(category)
-        frame = frame.withColumn("item_category", category)
+        by_feed = " ".join(f"WHEN '{f.chain}' THEN _category_{f.rank}" for f in FEEDS)
+        frame = frame.withColumn("item_category", F.expr(f"CASE chain {by_feed} ELSE item_type END"))
     return frame.select(*wanted)
 
 
-def _raw_line_columns(cfg: FeedConfig) -> dict[str, Column]:
-    key, flag = F.col("l_orderkey"), F.col("l_returnflag")
-    number = key.cast("string")
+def _raw_line_sql(cfg: FeedConfig) -> dict[str, str]:
+    number = "CAST(l_orderkey AS STRING)"
     if cfg.rank == FEED_A.rank:
-        number = F.when(key % 50 == 0, F.concat(F.lit("N/A "), number)).otherwise(number)
-    hour, minute = F.floor(_seconds() / 3600), F.floor(_seconds() % 3600 / 60)
-    clock = F.format_string("%02d:%02d:%02d", hour, minute, _seconds() % 60)
-    net = _money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+        number = f"CASE WHEN l_orderkey % 50 = 0 THEN concat('N/A ', {number}) ELSE {number} END"
+    clock = f"format_string('%02d:%02d:%02d', {_HOUR}, {_MINUTE}, {_SECONDS} % 60)"
     columns = {
-        S.ROW_ORDINAL: key * 10 + F.col("l_linenumber"),
+        S.ROW_ORDINAL: "l_orderkey * 10 + l_linenumber",
         "order_number": number,
-        "restaurant_id": F.col("l_suppkey"),
-        "order_purchase_time": F.when(key % 50 == 1, F.lit("closed")).otherwise(clock),
-        "coupon_y_n": F.when(F.col("l_discount") > 0, F.lit("Y")).otherwise(F.lit("N")),
-        "order_alcohol_purchased": F.when(F.col("l_tax") > 0, 1).otherwise(0),
-        "customer_with_children": F.when(flag == "R", 1).when(flag == "N", 0).otherwise(9),
-        "item_number": F.col("l_partkey"),
-        "quantity": F.col("l_quantity").cast("bigint"),
+        "restaurant_id": "l_suppkey",
+        "order_purchase_time": f"CASE WHEN l_orderkey % 50 = 1 THEN 'closed' ELSE {clock} END",
+        "coupon_y_n": "CASE WHEN l_discount > 0 THEN 'Y' ELSE 'N' END",
+        "order_alcohol_purchased": "CASE WHEN l_tax > 0 THEN 1 ELSE 0 END",
+        "customer_with_children": "CASE l_returnflag WHEN 'R' THEN 1 WHEN 'N' THEN 0 ELSE 9 END",
+        "item_number": "l_partkey",
+        "quantity": "CAST(l_quantity AS BIGINT)",
         "item_total_cost": _money("l_extendedprice"),
-        "Profit": net.cast(S.PROFIT),
+        "Profit": _NET,
     }
     if "item_product_cost" in cfg.drop_columns:
-        columns["item_product_cost"] = F.lit(None).cast("double")
+        columns["item_product_cost"] = "CAST(NULL AS DOUBLE)"
     return columns
 
 
-def _raw_order_columns() -> dict[str, Column]:
-    text = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return {
-        "customer_id": F.col("o_custkey").cast("string"),
-        "order_purchase_date": F.when(F.col("o_orderkey") % 97 == 0, F.lit("not a date")).otherwise(text),
-        "order_purchase_method": F.col("o_orderpriority"),
-        "order_total_cost": _money("o_totalprice"),
-    }
+_RAW_ORDER_SQL = {
+    "customer_id": "CAST(o_custkey AS STRING)",
+    "order_purchase_date": "CASE WHEN o_orderkey % 97 = 0 THEN 'not a date'"
+    " ELSE date_format(o_orderdate, 'yyyy-MM-dd') END",
+    "order_purchase_method": "o_orderpriority",
+    "order_total_cost": _money("o_totalprice"),
+}
 
 
 _RAW_NAMES = {"gender_customer_payee": "gender", "item_category": "item_type"}
@@ -235,12 +243,11 @@ def raw_feed(
     spark: SparkSession, sf_dir: str, cfg: FeedConfig, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """One chain's raw feed: text dates, numbers and times, coded flags, planted junk."""
-    line_exprs = _raw_line_columns(cfg)
     every = [c if c != "profit" else "Profit" for c in S.RAW_FIELDS] + [S.ROW_ORDINAL]
     wanted = list(columns or [*every, *cfg.drop_columns])
     need = {_RAW_NAMES.get(c, c) for c in wanted}
     source = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == cfg.chain)
-    frame = _assemble(source, spark, sf_dir, line_exprs, _raw_order_columns(), need)
+    frame = _assemble(source, spark, sf_dir, _raw_line_sql(cfg), _RAW_ORDER_SQL, need)
     return frame.select(*[F.col(_RAW_NAMES.get(c, c)).alias(c) for c in wanted])
 
 

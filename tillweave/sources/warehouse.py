@@ -56,6 +56,11 @@ def star_counts(star: Star) -> DataFrame:
     return result
 
 
+def append_log(audit: DataFrame, folder: str) -> None:
+    """Add the rows of one run to the audit log."""
+    audit.write.mode("append").parquet(folder)
+
+
 def query(spark: SparkSession, sql: str, star: Star) -> DataFrame:
     """SQL over the star's tables, named in braces: `SELECT ... FROM {orders}`."""
     tables = {n: getattr(star, n) for n in TABLES if getattr(star, n) is not None}
