@@ -83,7 +83,13 @@ _NET = _units(
     S.PROFIT.scale,
 )
 _SECONDS = "(l_orderkey * 7919 % 86400)"
-_HOUR, _MINUTE = f"{_SECONDS} DIV 3600", f"{_SECONDS} % 3600 DIV 60"
+_HOUR, _MINUTE, _SECOND = f"{_SECONDS} DIV 3600", f"{_SECONDS} % 3600 DIV 60", f"{_SECONDS} % 60"
+
+
+def _clock(*parts: str) -> str:
+    return "concat_ws(':', " + ", ".join(f"lpad(CAST({p} AS STRING), 2, '0')" for p in parts) + ")"
+
+
 _DAY = (
     f"CASE WHEN year(o_orderdate) <> {SENTINEL_YEAR} AND o_orderkey % 97 <> 0"
     " THEN CAST(o_orderdate AS DATE) END"
@@ -96,7 +102,7 @@ _LINE_SQL = {
     S.ROW_ORDINAL: "l_orderkey * 10 + l_linenumber",
     "order_number": f"CASE WHEN l_linestatus <> '{FEED_A.chain}' OR l_orderkey % 50 <> 0 THEN l_orderkey END",
     "restaurant_id": "l_suppkey",
-    "order_purchase_time": f"CASE WHEN l_orderkey % 50 <> 1 THEN format_string('%02d:%02d', {_HOUR}, {_MINUTE}) END",
+    "order_purchase_time": f"CASE WHEN l_orderkey % 50 <> 1 THEN {_clock(_HOUR, _MINUTE)} END",
     "time_of_day": f"CASE WHEN l_orderkey % 50 <> 1 AND {_SECONDS} < 43200 THEN 'AM' ELSE 'PM' END",
     "coupon_used": "CASE WHEN l_discount > 0 THEN 'Yes' ELSE 'No' END",
     "alcohol_purchased": "CASE WHEN l_tax > 0 THEN 'Yes' ELSE 'No' END",
@@ -111,7 +117,7 @@ _ORDER_SQL = {
     "customer_id": "CAST(o_custkey AS STRING)",
     "order_purchase_date": _DAY,
     "order_month": _MONTH,
-    "order_month_name": f"date_format({_DAY}, 'MMMM')",
+    "order_month_name": f"try_element_at(array{C.MONTHS}, {_MONTH})",
     "order_year": f"year({_DAY})",
     "season": f"CASE WHEN {_MONTH} IN (12, 1, 2) THEN 'Winter' WHEN {_MONTH} IN (3, 4, 5) THEN 'Spring'"
     f" WHEN {_MONTH} IN (6, 7, 8) THEN 'Summer' WHEN {_MONTH} IS NOT NULL THEN 'Fall' END",
@@ -208,7 +214,7 @@ def _raw_line_sql(cfg: FeedConfig) -> dict[str, str]:
     number = "CAST(l_orderkey AS STRING)"
     if cfg.rank == FEED_A.rank:
         number = f"CASE WHEN l_orderkey % 50 = 0 THEN concat('N/A ', {number}) ELSE {number} END"
-    clock = f"format_string('%02d:%02d:%02d', {_HOUR}, {_MINUTE}, {_SECONDS} % 60)"
+    clock = _clock(_HOUR, _MINUTE, _SECOND)
     columns = {
         S.ROW_ORDINAL: "l_orderkey * 10 + l_linenumber",
         "order_number": number,

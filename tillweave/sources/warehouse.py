@@ -15,31 +15,27 @@ TABLES = ("orders", "restaurants", "products", "customers")
 def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
     """Load merged lines as parquet tables, replacing what is there.
 
-    The lines are computed once, into a staging table that keeps the location
-    and the row order; fact and dimensions are then read from it with only the
-    columns each needs.  The fact is partitioned by chain, which the per-chain
-    reports prune on.
+    The lines are computed and written once, partitioned by chain, which the
+    per-chain reports prune on.  The dimensions are then read from the stored
+    lines with only the columns each needs.  The stored fact keeps the location
+    and the row order for that purpose; readers of the fact do not see them.
     """
-    staging = f"{folder}/lines"
-    lines.write.mode("overwrite").partitionBy("chain").parquet(staging)
-    stored = spark.read.parquet(staging)
-    fact = [c for c in S.FACT_COLUMNS if c in stored.columns]
-    frames = {
-        "orders": stored.select(*fact),
+    lines.write.mode("overwrite").partitionBy("chain").parquet(f"{folder}/orders")
+    stored = spark.read.parquet(f"{folder}/orders")
+    dimensions = {
         "restaurants": D.restaurant_dimension(stored),
         "products": D.product_dimension(stored),
         "customers": D.customer_dimension(stored),
     }
-    for name, df in frames.items():
-        writer = df.write.mode("overwrite")
-        if name == "orders":
-            writer = writer.partitionBy("chain")
-        writer.parquet(f"{folder}/{name}")
+    for name, df in dimensions.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
     return read_star(spark, folder)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(**{name: spark.read.parquet(f"{folder}/{name}") for name in TABLES})
+    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
+    fact = [c for c in S.FACT_COLUMNS if c in tables["orders"].columns]
+    return Star(**{**tables, "orders": tables["orders"].select(*fact)})
 
 
 def star_counts(star: Star) -> DataFrame:
