@@ -7,9 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tillweave import schema as S
 from tillweave.operators import star as D
 from tillweave.operators.positions import number_rows
 from tillweave.session import scratch_path
+from tillweave.sources import sample_tables as B
 from tillweave.sources import warehouse as W
 
 
@@ -133,3 +135,16 @@ def test_sql_surface(spark, stored):
         star,
     ).collect()
     assert {(r[0], r[1]) for r in rows} == {("Ohio", 2), ("Iowa", 1)}
+
+
+def test_dimensions_from_first_lines_equal_those_from_all_lines(spark, sf_dir):
+    keys = ["chain", *S.BOOKKEEPING]
+    place = ["restaurant_id", *S.LOCATION_COLUMNS, *keys]
+    item = ["item_number", "item_description", "item_code", "item_category", "menu_price", *keys]
+    for key, columns, derive in (
+        ("restaurant_id", place, D.restaurant_dimension),
+        ("item_number", item, D.product_dimension),
+    ):
+        few = derive(B.first_lines(spark, sf_dir, key, columns))
+        full = derive(B.order_lines(spark, sf_dir, columns))
+        assert few.exceptAll(full).isEmpty() and full.exceptAll(few).isEmpty()

@@ -38,7 +38,10 @@ BINARY_LABELS = {1: "Yes", 0: "No"}
 
 
 def tag_feed(df: DataFrame, cfg: FeedConfig) -> DataFrame:
-    """Add the chain tag and the feed rank; number the rows if the reader did not."""
+    """Add the chain tag and the feed rank; number the rows if the reader did not.
+
+    The numbering follows the scan, so `df` should then come straight from files.
+    """
     tagged = df.withColumns({"chain": F.lit(cfg.chain), S.FEED_RANK: F.lit(cfg.rank)})
     if S.ROW_ORDINAL in df.columns:
         return tagged

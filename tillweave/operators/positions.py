@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillweave.session import shared_folder
+from tillweave.session import scratch_path
 
 # monotonically_increasing_id() keeps the partition number above bit 33 and the
 # row's place in the partition below it.
@@ -24,25 +24,30 @@ def number_rows(
     """Number rows `start, start+1, ...` in `order`, separately per `group`.
 
     A ranking window would send each group, or the whole table, to one task.
-    Instead the rows are range-partitioned and sorted; the scan position is the
-    last sort key, so even identical rows spread over partitions.  The sorted
-    rows are checkpointed once: the numbering below reads them twice, and after
-    a lost executor both passes must see the same partitions.  Each row's number
-    is its place within its partition plus the rows of its group in earlier
-    partitions, a table of at most one row per partition and group.
+    Instead the rows are range-partitioned and sorted.  The last sort key is the
+    row's place in its input partition, so even identical rows spread over
+    partitions.  That place is taken after a local sort on all columns: a task
+    that is run again after a lost executor then hands out the same places,
+    whatever order its input arrives in.  The sorted rows are written once to
+    the shared folder, because the numbering reads them twice and both passes
+    must see the same partitions.  Each row's number is its place within its
+    partition plus the rows of its group in earlier partitions.  The pass that
+    counts those reads two columns only.
     """
-    shared_folder(df.sparkSession)
-    # No group means one group; the partition is then the only key.
+    spark = df.sparkSession
     keys = list(group)
     sort_keys = [*keys, *order, "_scan"]
-    ordered = (
-        df.withColumn("_scan", F.monotonically_increasing_id())
+    path = scratch_path(spark, "sorted")
+    (
+        df.sortWithinPartitions(*dict.fromkeys([*keys, *order, *df.columns]))
+        .withColumn("_scan", F.monotonically_increasing_id())
         .repartitionByRange(*sort_keys)
         .sortWithinPartitions(*sort_keys)
         .drop("_scan")
         .withColumn("_slot", F.monotonically_increasing_id())
-        .checkpoint()
+        .write.parquet(path)
     )
+    ordered = spark.read.parquet(path)
     part: Column = F.shiftright("_slot", _PLACE_BITS)
     counts = ordered.groupBy(*keys, part.alias("_part")).agg(
         F.min("_slot").alias("_first"), F.count("*").alias("_n")
@@ -50,12 +55,13 @@ def number_rows(
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # At most one row per partition and group.
     offsets = counts.select(
         *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
         F.col("_part").alias("_p"),
         "_first",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-    )
+    ).checkpoint()
     match = F.shiftright(ordered["_slot"], _PLACE_BITS) == offsets["_p"]
     for i, k in enumerate(keys):
         match = match & ordered[k].eqNullSafe(offsets[f"_g{i}"])

@@ -33,6 +33,11 @@ def registered(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def place_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """Lines from which the restaurant dimension is derived."""
+    return B.first_lines(spark, sf_dir, "restaurant_id", columns)
+
+
 def dataset(
     spark: SparkSession,
     sf_dir: str,
@@ -56,7 +61,7 @@ def dataset(
     lines = B.order_lines(spark, sf_dir, sorted(need))
     if projected:
         lines = project_values(lines, B.SCENARIO)
-    places = state_dimension(B.order_lines(spark, sf_dir, PLACE_KEYS)) if located else None
+    places = state_dimension(place_lines(spark, sf_dir, PLACE_KEYS)) if located else None
     return Star(orders=lines.select(*asked), restaurants=places)
 
 

@@ -124,16 +124,8 @@ def _key_sql(table: str, keys: str, source: str) -> str:
 )
 def star_key_check(spark, sf_dir):
     """Keys of the loaded tables; the bare item number shows why the chain belongs to its key."""
-    places = D.restaurant_dimension(
-        B.order_lines(spark, sf_dir, [*S.LOCATION_COLUMNS, "restaurant_id", "chain", *S.BOOKKEEPING])
-    )
-    products = D.product_dimension(
-        B.order_lines(
-            spark, sf_dir,
-            ["item_number", "item_description", "item_code", "item_category", "menu_price", "chain",
-             *S.BOOKKEEPING],
-        )
-    )
+    places = D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
+    products = D.product_dimension(B.first_lines(spark, sf_dir, "item_number", _PRODUCT_COLUMNS))
     customers = D.customer_dimension(
         B.order_lines(spark, sf_dir, ["customer_id", "gender", "has_children", "chain", *S.BOOKKEEPING])
     )
@@ -147,6 +139,9 @@ def star_key_check(spark, sf_dir):
     )
 
 
+_PLACE_COLUMNS = ["restaurant_id", *S.LOCATION_COLUMNS, "chain", *S.BOOKKEEPING]
+_PRODUCT_COLUMNS = ["item_number", "item_description", "item_code", "item_category", "menu_price",
+                    "chain", *S.BOOKKEEPING]
 _NUMBERED = [
     "chain", "order_number", "restaurant_id", "item_number", "quantity", "item_total_cost", "profit",
 ]
@@ -173,8 +168,7 @@ def surrogate_key(spark, sf_dir):
     "SELECT restaurant_id, restaurant_city, restaurant_state, restaurant_zip, chain FROM places",
 )
 def dim_restaurants(spark, sf_dir):
-    columns = ["restaurant_id", *S.LOCATION_COLUMNS, "chain", *S.BOOKKEEPING]
-    return D.restaurant_dimension(B.order_lines(spark, sf_dir, columns))
+    return D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
 
 
 @registered(
@@ -188,8 +182,7 @@ def dim_restaurants(spark, sf_dir):
        WHERE pick = 1""",
 )
 def dim_restaurants_by_chain(spark, sf_dir):
-    columns = ["restaurant_id", *S.LOCATION_COLUMNS, "chain", *S.BOOKKEEPING]
-    return D.restaurant_dimension(B.order_lines(spark, sf_dir, columns), by_chain=True)
+    return D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS), by_chain=True)
 
 
 @registered(
@@ -215,9 +208,8 @@ def dim_restaurant_conflicts(spark, sf_dir):
        WHERE pick = 1""",
 )
 def dim_products(spark, sf_dir):
-    columns = ["item_number", "item_description", "item_code", "item_category", "menu_price",
-               "chain", *S.BOOKKEEPING]
-    return R.iso_dates(D.product_dimension(B.order_lines(spark, sf_dir, columns)))
+    lines = B.first_lines(spark, sf_dir, "item_number", _PRODUCT_COLUMNS)
+    return R.iso_dates(D.product_dimension(lines))
 
 
 @registered(
@@ -245,9 +237,7 @@ def join_orders_restaurants(spark, sf_dir):
     lines = B.order_lines(
         spark, sf_dir, ["chain", "order_number", "restaurant_id", "item_number", "quantity"]
     )
-    places = D.restaurant_dimension(
-        B.order_lines(spark, sf_dir, ["restaurant_id", *S.LOCATION_COLUMNS, "chain", *S.BOOKKEEPING])
-    )
+    places = D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
     return D.Star(lines, places).joined().select(
         "chain", "order_number", "restaurant_id", "restaurant_city", "restaurant_state",
         "item_number", "quantity",

@@ -194,6 +194,13 @@ def _assemble(
     return frame
 
 
+def _with_category(frame: DataFrame, need: set[str]) -> DataFrame:
+    if "item_category" not in need:
+        return frame
+    by_feed = " ".join(f"WHEN '{f.chain}' THEN _category_{f.rank}" for f in FEEDS)
+    return frame.withColumn("item_category", F.expr(f"CASE chain {by_feed} ELSE item_type END"))
+
+
 def order_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Canonical cleaned order lines holding the asked-for columns."""
     if columns is None:
@@ -204,10 +211,31 @@ def order_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
         need |= {"item_type", "chain"}
     source = table(spark, sf_dir, "lineitem")
     frame = _assemble(source, spark, sf_dir, _LINE_SQL, _ORDER_SQL, need)
-    if "item_category" in need:
-        by_feed = " ".join(f"WHEN '{f.chain}' THEN _category_{f.rank}" for f in FEEDS)
-        frame = frame.withColumn("item_category", F.expr(f"CASE chain {by_feed} ELSE item_type END"))
-    return frame.select(*wanted)
+    return _with_category(frame, need).select(*wanted)
+
+
+def first_lines(
+    spark: SparkSession, sf_dir: str, key: str, columns: Iterable[str]
+) -> DataFrame:
+    """Each chain's earliest line per `key`, with the columns that follow from key or order.
+
+    What a first-row-wins dimension over all lines would pick is among these, so
+    only these are joined: the lines themselves are grouped and not shuffled.
+    Serves columns of the key's own table and of the order, which the ordinal
+    names; not columns that vary between lines of one order.
+    """
+    wanted = list(dict.fromkeys(columns))
+    need = set(wanted) | ({"item_type", "chain"} if "item_category" in wanted else set())
+    earliest = (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr(*[f"{_LINE_SQL[c]} AS {c}" for c in (key, "chain", *S.BOOKKEEPING)])
+        .groupBy(key, "chain", S.FEED_RANK)
+        .agg(F.min(S.ROW_ORDINAL).alias(S.ROW_ORDINAL))
+    )
+    named = {c: c for c in (key, "chain", *S.BOOKKEEPING)}
+    heads = earliest.selectExpr("*", f"{S.ROW_ORDINAL} DIV 10 AS l_orderkey", f"{key} AS l_partkey")
+    frame = _assemble(heads, spark, sf_dir, named, _ORDER_SQL, need | set(named))
+    return _with_category(frame, need).select(*wanted)
 
 
 def _raw_line_sql(cfg: FeedConfig) -> dict[str, str]:
