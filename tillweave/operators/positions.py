@@ -26,9 +26,10 @@ def number_rows(
     A ranking window would send each group, or the whole table, to one task.
     Instead the rows are range-partitioned and sorted.  The last sort key is the
     row's place in its input partition, so even identical rows spread over
-    partitions.  That place is taken after a local sort on all columns: a task
-    that is run again after a lost executor then hands out the same places,
-    whatever order its input arrives in.  The sorted rows are written once to
+    partitions.  That place is taken after a local sort on the whole row, by its
+    hash first, which settles nearly every comparison: a task that is run again
+    after a lost executor then hands out the same places, whatever order its
+    input arrives in.  The sorted rows are written once to
     the shared folder, because the numbering reads them twice and both passes
     must see the same partitions.  Each row's number is its place within its
     partition plus the rows of its group in earlier partitions.  The pass that
@@ -39,7 +40,7 @@ def number_rows(
     sort_keys = [*keys, *order, "_scan"]
     path = scratch_path(spark, "sorted")
     (
-        df.sortWithinPartitions(*dict.fromkeys([*keys, *order, *df.columns]))
+        df.sortWithinPartitions(F.xxhash64(*df.columns), *df.columns)
         .withColumn("_scan", F.monotonically_increasing_id())
         .repartitionByRange(*sort_keys)
         .sortWithinPartitions(*sort_keys)

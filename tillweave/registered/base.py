@@ -58,7 +58,7 @@ def dataset(
             need.add("order_purchase_method")
         if need & set(S.MONEY_COLUMNS):
             need.add("chain")
-    lines = B.order_lines(spark, sf_dir, sorted(need))
+    lines = B.order_lines(spark, sf_dir, sorted(need), exact=not projected)
     if projected:
         lines = project_values(lines, B.SCENARIO)
     places = state_dimension(place_lines(spark, sf_dir, PLACE_KEYS)) if located else None
@@ -216,6 +216,16 @@ picked AS (
 PRELUDE = f"WITH {LINES_SQL},{PLACES_SQL},{SCENARIO_SQL},{PICKED_SQL}\n"
 
 
+# A whole order line as both engines show it: ISO dates, money as DOUBLE.
+SHOWN_LINE = ", ".join(
+    {
+        "order_purchase_date": "strftime(order_purchase_date, '%Y-%m-%d') AS order_purchase_date",
+        **{c: f"CAST({c} AS DOUBLE) AS {c}" for c in S.MONEY_COLUMNS},
+    }.get(c, c)
+    for c in S.LINE_COLUMNS
+)
+
+
 def total(column: str, power: int = 0, digits: int | None = 2) -> str:
     """Sum divided by ten to the power, rounded half up, as DOUBLE."""
     exact = f"CAST(SUM({column}) AS DECIMAL(28,4))"

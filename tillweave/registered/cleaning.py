@@ -12,18 +12,17 @@ from tillweave.operators.filters import keep_known, keep_selected
 from tillweave.plans import shaped
 from tillweave.registered import base as R
 from tillweave.registered.base import registered
-from tillweave.registered.loading import _ALL
 from tillweave.sources import sample_tables as B
 
 
-@registered("clean_feed", f"SELECT {_ALL} FROM lines WHERE chain = 'F'")
+@registered("clean_feed", f"SELECT {R.SHOWN_LINE} FROM lines WHERE chain = 'F'")
 def clean_feed(spark, sf_dir):
     """The whole pipeline over the first feed's raw text."""
     cleaned = Clean.clean_feed(B.raw_feed(spark, sf_dir, B.FEED_A), B.FEED_A)
     return R.iso_dates(cleaned.drop(*S.BOOKKEEPING))
 
 
-@registered("clean_union", f"SELECT {_ALL} FROM lines")
+@registered("clean_union", f"SELECT {R.SHOWN_LINE} FROM lines")
 def clean_union(spark, sf_dir):
     """Both feeds cleaned, aligned and merged."""
     cleaned = [Clean.clean_feed(B.raw_feed(spark, sf_dir, cfg), cfg) for cfg in B.FEEDS]

@@ -15,15 +15,6 @@ from tillweave.sources import feeds as Feeds
 from tillweave.sources import sample_tables as B
 from tillweave.sources import warehouse as W
 
-_ALL = ", ".join(
-    {
-        "order_purchase_date": "strftime(order_purchase_date, '%Y-%m-%d') AS order_purchase_date",
-        **{c: f"CAST({c} AS DOUBLE) AS {c}" for c in S.MONEY_COLUMNS},
-    }.get(c, c)
-    for c in S.LINE_COLUMNS
-)
-
-
 @registered(
     "src_two_feeds",
     """SELECT l_linestatus AS chain, COUNT(*) AS feed_rows,
@@ -52,7 +43,7 @@ def src_two_feeds(spark, sf_dir):
     )
 
 
-@registered("csv_round_trip", f"SELECT {_ALL} FROM lines")
+@registered("csv_round_trip", f"SELECT {R.SHOWN_LINE} FROM lines")
 def csv_round_trip(spark, sf_dir):
     path = scratch_path(spark, "lines-csv")
     lines = B.order_lines(spark, sf_dir, S.LINE_COLUMNS)

@@ -69,19 +69,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # cheaper per row than a double-to-decimal cast.
 
 
-def _units(units: str, scale: int) -> str:
+def _units(units: str, scale: int, exact: bool) -> str:
+    if not exact:
+        return f"CAST({units} AS DOUBLE) / {10**scale}D"
     unit = format(Decimal(1).scaleb(-scale), "f")
     return f"CAST(CAST({units} AS DECIMAL(18,0)) * {unit}BD AS DECIMAL(18,{scale}))"
 
 
-def _money(column: str) -> str:
-    return _units(f"CAST(rint({column} * 100D) AS BIGINT)", S.MONEY.scale)
+def _money(column: str, exact: bool = True) -> str:
+    return _units(f"CAST(rint({column} * 100D) AS BIGINT)", S.MONEY.scale, exact)
+
+
+def _net(exact: bool = True) -> str:
+    cents = "CAST(rint(l_extendedprice * 100D) AS BIGINT)"
+    kept = "(100 - CAST(rint(l_discount * 100D) AS BIGINT))"
+    return _units(f"{cents} * {kept}", S.PROFIT.scale, exact)
 
 
-_NET = _units(
-    "CAST(rint(l_extendedprice * 100D) AS BIGINT) * (100 - CAST(rint(l_discount * 100D) AS BIGINT))",
-    S.PROFIT.scale,
-)
 _SECONDS = "(l_orderkey * 7919 % 86400)"
 _HOUR, _MINUTE, _SECOND = f"{_SECONDS} DIV 3600", f"{_SECONDS} % 3600 DIV 60", f"{_SECONDS} % 60"
 
@@ -110,7 +114,7 @@ _LINE_SQL = {
     "item_number": "l_partkey",
     "quantity": "CAST(l_quantity AS BIGINT)",
     "item_total_cost": _money("l_extendedprice"),
-    "profit": _NET,
+    "profit": _net(),
 }
 
 _ORDER_SQL = {
@@ -130,6 +134,14 @@ _PLACE_COLUMNS = S.LOCATION_COLUMNS
 _PART_COLUMNS = ("item_description", "item_code", "item_type", "menu_price")
 
 
+# The same money as the nearest doubles, for steps that compute in doubles anyway.
+_DOUBLE_SQL = {
+    "item_total_cost": _money("l_extendedprice", exact=False),
+    "profit": _net(exact=False),
+    "order_total_cost": _money("o_totalprice", exact=False),
+}
+
+
 def _assemble(
     lines: DataFrame,
     spark: SparkSession,
@@ -137,6 +149,7 @@ def _assemble(
     line_sql: dict[str, str],
     order_sql: dict[str, str],
     need: set[str],
+    exact: bool = True,
 ) -> DataFrame:
     """Lines with the needed columns, joining only the tables those come from.
 
@@ -181,7 +194,7 @@ def _assemble(
             "p_name AS item_description",
             "p_brand AS item_code",
             "p_type AS item_type",
-            f"{_money('p_retailprice')} AS menu_price",
+            f"{_money('p_retailprice', exact)} AS menu_price",
         )
         if "item_category" in need:
             parts = parts.withColumns(
@@ -201,8 +214,14 @@ def _with_category(frame: DataFrame, need: set[str]) -> DataFrame:
     return frame.withColumn("item_category", F.expr(f"CASE chain {by_feed} ELSE item_type END"))
 
 
-def order_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Canonical cleaned order lines holding the asked-for columns."""
+def order_lines(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, exact: bool = True
+) -> DataFrame:
+    """Canonical cleaned order lines holding the asked-for columns.
+
+    `exact=False` gives money as doubles, which the projection needs: it would
+    turn every decimal back into the same double.
+    """
     if columns is None:
         columns = (*S.LINE_COLUMNS, *S.BOOKKEEPING)
     wanted = list(dict.fromkeys(columns))
@@ -210,7 +229,10 @@ def order_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None
     if "item_category" in need:
         need |= {"item_type", "chain"}
     source = table(spark, sf_dir, "lineitem")
-    frame = _assemble(source, spark, sf_dir, _LINE_SQL, _ORDER_SQL, need)
+    doubles = {} if exact else _DOUBLE_SQL
+    line_sql = {c: doubles.get(c, e) for c, e in _LINE_SQL.items()}
+    order_sql = {c: doubles.get(c, e) for c, e in _ORDER_SQL.items()}
+    frame = _assemble(source, spark, sf_dir, line_sql, order_sql, need, exact)
     return _with_category(frame, need).select(*wanted)
 
 
@@ -254,7 +276,7 @@ def _raw_line_sql(cfg: FeedConfig) -> dict[str, str]:
         "item_number": "l_partkey",
         "quantity": "CAST(l_quantity AS BIGINT)",
         "item_total_cost": _money("l_extendedprice"),
-        "Profit": _NET,
+        "Profit": _net(),
     }
     if "item_product_cost" in cfg.drop_columns:
         columns["item_product_cost"] = "CAST(NULL AS DOUBLE)"
