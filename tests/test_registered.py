@@ -49,4 +49,4 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 
 def test_entry_runs(spark):
-    assert entry_module.entry(spark).count() == 10
+    assert 0 < entry_module.entry(spark).count() <= 10
