@@ -14,8 +14,7 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+from tillweave.registered import QUERIES, SQL  # noqa: E402
 
 
 @pytest.fixture(scope="module")
