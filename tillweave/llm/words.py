@@ -72,9 +72,12 @@ def cut(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray, extra: np.ndarra
     starts[heads] = inside[heads]
     if extra is not None:
         starts |= extra & inside
+    stops = inside.copy()
+    stops[:-1] &= ~inside[1:] | starts[1:]
     begin = np.flatnonzero(starts)
     # Where each run lands once separators are squeezed out.
-    offsets = np.append((np.cumsum(inside, dtype=np.int64) - 1)[begin], np.count_nonzero(inside))
+    offsets = np.zeros(len(begin) + 1, np.int64)
+    np.cumsum(np.flatnonzero(stops) + 1 - begin, out=offsets[1:])
     compact = np.ascontiguousarray(mapped[inside])
     array = pa.Array.from_buffers(
         pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(compact)]
