@@ -1,6 +1,13 @@
 """Every corpus query by name, each next to its SQL where SQL can express it."""
 
-from tillweave.llm import q02_decontamination, q03_tokens, q04_urls, q06_licences, q10_mixing  # noqa: F401
+from tillweave.llm import (  # noqa: F401
+    q02_decontamination,
+    q03_tokens,
+    q04_urls,
+    q06_licences,
+    q07_simhash,
+    q10_mixing,
+)
 from tillweave.llm.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
