@@ -27,7 +27,7 @@ from tillweave.session import scratch_path
 #: A segment is closed at the end of the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 18
 #: Pieces of text whose ids a worker keeps; beyond that it starts anew.
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 600_000
 
 SEGMENT_SCHEMA = (
     "shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint,"
