@@ -6,6 +6,7 @@ from tillweave.llm import (  # noqa: F401
     q04_urls,
     q06_licences,
     q07_simhash,
+    q09_language_model,
     q10_mixing,
 )
 from tillweave.llm.base import QUERIES, SQL
