@@ -4,6 +4,7 @@ from tillweave.llm import (  # noqa: F401
     q02_decontamination,
     q03_tokens,
     q04_urls,
+    q05_embeddings,
     q06_licences,
     q07_simhash,
     q09_language_model,
