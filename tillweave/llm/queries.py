@@ -7,6 +7,7 @@ from tillweave.llm import (  # noqa: F401
     q05_embeddings,
     q06_licences,
     q07_simhash,
+    q08_toxicity,
     q09_language_model,
     q10_mixing,
 )
