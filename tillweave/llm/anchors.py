@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tillweave.llm import words as W
 from tillweave.llm.components import components
+from tillweave.llm.forest import DisjointSets, spanning_links
 from tillweave.llm.tables import stored
 
 SHINGLE = 4
@@ -32,6 +33,8 @@ SEGMENTS = ((21, 1), (21, 1), (22, 0))
 PARITY = 4
 #: Fingerprints that one comparing task holds of an anchor; hotter anchors are split.
 HELD = 1 << 15
+#: Bytes of text hashed at once; each shingle takes some hundred bytes meanwhile.
+HASHED_BYTES = 2 << 20
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -152,54 +155,13 @@ def _dealt(segments, distance: int):
     return deal
 
 
-class _Union:
-    """Disjoint sets over places of an array."""
-
-    def __init__(self, count: int):
-        self.parent = list(range(count))
-
-    def find(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.parent[max(x, y)] = min(x, y)
-        return x != y
-
-    def roots(self) -> np.ndarray:
-        return np.fromiter((self.find(i) for i in range(len(self.parent))), np.int64)
-
-
-def _forest(homes: np.ndarray, batch: np.ndarray, sets: _Union, distance: int):
-    """Links between ``batch`` and ``homes`` that connect all that is linked, and no more.
-
-    ``sets`` holds the homes' sets so far.  Each copy starts as a set of its own;
-    rows of the comparison that lead only into the set a copy is already in are
-    left out, so the links stay fewer than the fingerprints, whatever the number
-    of close pairs.
-    """
+def _forest(homes: np.ndarray, batch: np.ndarray, sets: DisjointSets, distance: int):
+    """Links between ``batch`` and ``homes`` that connect all that is close; see ``sets`` there."""
     out = []
     for low in range(0, len(batch), 256):
         fps = batch[low : low + 256]
         near = np.bitwise_count(fps[:, None] ^ homes[None, :]) <= distance
-        while True:
-            roots = sets.roots()
-            first = near.argmax(axis=1)
-            own = roots[first]
-            # Homes near a copy but not yet in the set of the first one near it.
-            other = near & (roots[None, :] != own[:, None])
-            rows = np.flatnonzero(other.any(axis=1))
-            if not len(rows):
-                break
-            for row, at in zip(rows.tolist(), other[rows].argmax(axis=1).tolist()):
-                if sets.join(int(first[row]), at):
-                    out.append((fps[row], homes[at]))
-        linked = near.any(axis=1)
-        out += [(fps[i], homes[j]) for i, j in zip(np.flatnonzero(linked), first[linked])]
+        out += [(fps[row], homes[at]) for row, at in spanning_links(near, sets)]
     return out
 
 
@@ -263,7 +225,7 @@ def _compare(distance: int):
                     held += high - split
                 if sets is None and homes and held * sum(map(len, homes)) > 4096:
                     home_fps = np.concatenate(homes)
-                    sets = _Union(len(home_fps))
+                    sets = DisjointSets(len(home_fps))
                 if sets is not None and held >= 4096:
                     for lot in _flushed(home_fps, copies, sets, distance):
                         yield batch_of(lot)
@@ -333,7 +295,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
         )
 
     return docs.select("doc_id", "text", "mark").mapInArrow(
-        W.per_chunk(hashed), "doc_id bigint, mark bigint, fp bigint"
+        W.per_chunk(hashed, HASHED_BYTES), "doc_id bigint, mark bigint, fp bigint"
     )
 
 

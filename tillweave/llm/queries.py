@@ -1,6 +1,7 @@
 """Every corpus query by name, each next to its SQL where SQL can express it."""
 
 from tillweave.llm import (  # noqa: F401
+    q01_quotations,
     q02_decontamination,
     q03_tokens,
     q04_urls,

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillweave.llm import words as W
-from tillweave.llm.anchors import fingerprints
+from tillweave.llm.anchors import HASHED_BYTES, fingerprints
 from tillweave.llm.levenshtein import Trie
 from tillweave.llm.tables import id_remainder, stored
 
@@ -330,7 +330,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     rows = stored(
         joined.select(docs["text"], "toxic")
-        .mapInArrow(W.per_chunk(printed), "text string, toxic boolean, fp bigint"),
+        .mapInArrow(W.per_chunk(printed, HASHED_BYTES), "text string, toxic boolean, fp bigint"),
         "toxicity-sample",
     )
     # Copies would make any word of a copied toxic text look toxic: one of them is enough.

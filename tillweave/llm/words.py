@@ -96,28 +96,32 @@ def words(texts: pa.Array, keep: np.ndarray) -> Words:
     return cut(*raw_bytes(texts), keep)
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches again, cut so that each holds about ``CHUNK_BYTES`` of text, or one text."""
+def chunks(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches again, cut so that each holds about ``size`` bytes of text, or one text."""
     for batch in batches:
         _, bounds = raw_bytes(batch.column(batch.schema.get_field_index(column)))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(bounds, bounds[start] + CHUNK_BYTES, side="right")) - 1
+            stop = int(np.searchsorted(bounds, bounds[start] + size, side="right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 
 
-def gathered(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Small batches joined and large ones cut, each about ``CHUNK_BYTES`` of text."""
+def gathered(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Small batches joined and large ones cut, each about ``size`` bytes of text."""
     held: list[pa.RecordBatch] = []
-    size = 0
-    for batch in chunks(batches, column):
+    taken = 0
+    for batch in chunks(batches, column, size):
         held.append(batch)
-        size += batch.column(batch.schema.get_field_index(column)).nbytes
-        if size >= CHUNK_BYTES:
+        taken += batch.column(batch.schema.get_field_index(column)).nbytes
+        if taken >= size:
             yield _joined(held)
-            held, size = [], 0
+            held, taken = [], 0
     if held:
         yield _joined(held)
 
@@ -130,12 +134,12 @@ def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def per_chunk(
-    step: Callable[[pa.RecordBatch], pa.RecordBatch],
+    step: Callable[[pa.RecordBatch], pa.RecordBatch], size: int = CHUNK_BYTES
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function that applies ``step`` to chunks of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches):
+        for batch in gathered(batches, size=size):
             yield step(batch)
 
     return run
