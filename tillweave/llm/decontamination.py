@@ -205,11 +205,55 @@ def items_digest(names: Sequence[str]) -> str:
     return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
 
 
-def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark, columns as given.
 
-    Rows are matched by doc_id; rows that share an id go if one of them is hit.
-    A row with a null id stays if its own text is clean.
+    Every lot of the benchmark looks at what the lots before it left.
+    """
+    context = docs.sparkSession.sparkContext
+    for items in benchmark_passes(benchmark):
+        shared = context.broadcast(Windows.of(items, size))
+
+        def clean(texts: pa.Array, shared=shared) -> np.ndarray:
+            none = pa.nulls(len(texts), pa.int64())
+            rows = pa.RecordBatch.from_arrays([none, texts, none], names=["doc_id", "text", "row"])
+            return np.array([not s for s in _search_chunk(shared.value, rows).column(4).to_pylist()])
+
+        docs = W.rows_where(docs, clean)
+    return docs
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """``docs`` with the words of every occurrence cut from the texts; n_chars is kept as it was.
+
+    A word is cut with what stands between it and the next word.
     """
-    hit = searched(docs, benchmark, size).where(F.size("spans") > 0)
-    return docs.join(hit.select("doc_id").distinct(), "doc_id", "left_anti")
+    context = docs.sparkSession.sparkContext
+    place = docs.columns.index("text")
+    for items in benchmark_passes(benchmark):
+        shared = context.broadcast(Windows.of(items, size))
+
+        def cut(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in W.gathered(batches):
+                texts = batch.column(place)
+                none = pa.nulls(len(texts), pa.int64())
+                rows = pa.RecordBatch.from_arrays([none, texts, none], names=["doc_id", "text", "row"])
+                spans = _search_chunk(shared.value, rows).column(4).to_pylist()
+                fresh = pa.array(
+                    [_cut(t, s) if s else t for t, s in zip(texts.to_pylist(), spans)], pa.string()
+                )
+                yield batch.set_column(place, batch.schema.field(place), fresh)
+
+        docs = docs.mapInArrow(cut, docs.schema)
+    return docs
+
+
+def _cut(text: str, spans: list[dict]) -> str:
+    raw = text.encode("utf-8")
+    inside = W.PLAIN[np.frombuffer(raw, np.uint8)] != 0
+    starts = np.flatnonzero(inside & ~np.append(False, inside[:-1])).tolist() + [len(raw)]
+    out, at = [], 0
+    for span in spans:
+        out.append(raw[at : starts[span["first_word"]]])
+        at = starts[span["end_word"]]
+    return b"".join([*out, raw[at:]]).decode("utf-8")

@@ -37,7 +37,7 @@ MIN_ODDS = 1.8
 #: Support times odds that a term must reach beyond what its kin explain.
 MIN_GAIN = 25.0
 #: Summed hits beyond which a text gets no more toxic.
-MOST_HITS = 30.0
+MOST_HITS = 10.0
 STEM_SIGNS = range(3, 9)
 #: Sample texts whose SimHashes differ in so few bits are copies.
 COPY_BITS = 10
@@ -68,6 +68,8 @@ class Model:
 
     terms: dict[str, float]
     curve: tuple[float, float, float]
+    #: Words near a term that clean texts hold as well: words of their own, not misspellings.
+    ordinary: frozenset[str] = frozenset()
     stems: dict[str, str] = field(init=False)
     trie: Trie = field(init=False)
 
@@ -88,7 +90,7 @@ class Model:
         for size in STEM_SIGNS:
             if text[:size] in self.stems and len(text) >= size:
                 return self.stems[text[:size]], 0
-        if fuzzy:
+        if fuzzy and text not in self.ordinary:
             found = self.trie.nearest(text, 2)
             if found and found[0] <= _allowed(found[1]):
                 return found[1], found[0]
@@ -393,6 +395,34 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sample.mapInArrow(held, "toxic boolean, held array<string>").collect()
     model = Model(_picked([(r.toxic, r.held) for r in rows], candidates), (-3.0, 0.3, 0.3))
 
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.gathered(batches):
+            text = W.words(batch.column(0), W.PLAIN)
+            near = [p for p, (_, distance) in model.matches(text).items() if distance]
+            words, owner = text.codes, text.owner()
+            pairs = {
+                (int(d), int(c))
+                for d, c in zip(owner[np.isin(words, near)], words[np.isin(words, near)])
+            }
+            toxic = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([text.dictionary[c].as_py().decode() for _, c in pairs], pa.string()),
+                    pa.array([toxic[d] for d, _ in pairs], pa.bool_()),
+                ],
+                names=["word", "toxic"],
+            )
+
+    # Words within two signs of the lexicon that the sample holds.
+    variants = (
+        sample.mapInArrow(spelled, "word string, toxic boolean")
+        .groupBy("word")
+        .agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
+        .where((F.col("clean") > 0) & (odds < MIN_ODDS))
+        .collect()
+    )
+    model = Model(model.terms, model.curve, frozenset(r.word for r in variants))
+
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.gathered(batches):
             found = hit_features(batch.column(0), model)
@@ -403,7 +433,15 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
 
     fit = sample.mapInArrow(measured, "toxic boolean, total double, strongest double").collect()
     features = np.array([(r.total, r.strongest) for r in fit]).reshape(-1, 2)
-    return Model(model.terms, _fitted_curve(features, np.array([float(r.toxic) for r in fit])))
+    curve = _fitted_curve(features, np.array([float(r.toxic) for r in fit]))
+    return Model(model.terms, curve, model.ordinary)
+
+
+def _scores(texts: pa.Array, model: Model) -> np.ndarray:
+    base, total, strongest = model.curve
+    found = hit_features(texts, model)
+    value = base + total * found[:, 0] + strongest * found[:, 1]
+    return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -415,13 +453,16 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, total, strongest = shared.value.curve
         for batch in W.gathered(batches):
-            found = hit_features(batch.column(1), shared.value)
-            value = base + total * found[:, 0] + strongest * found[:, 1]
+            found = _scores(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(value, -30, 30))))],
-                names=["doc_id", "score"],
+                [batch.column(0), pa.array(found)], names=["doc_id", "score"]
             )
 
     return docs.select("doc_id", "text").mapInArrow(score, "doc_id bigint, score double")
+
+
+def tolerable(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays below ``threshold``, columns as given."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return W.rows_where(docs, lambda texts: _scores(texts, shared.value) < threshold)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text handled at once; one longer text is handled alone.
 CHUNK_BYTES = 8 << 20
@@ -145,6 +146,19 @@ def per_chunk(
     return run
 
 
+def rows_where(
+    docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose text ``keep`` says True of; all columns as given, no join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, column):
+            texts = batch.column(batch.schema.get_field_index(column))
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def ragged(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Places ``first[i], first[i] + 1, ...`` for each i, one after another."""
     total = int(lengths.sum())
