@@ -250,7 +250,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
 
 def _cut(text: str, spans: list[dict]) -> str:
     raw = text.encode("utf-8")
-    inside = W.PLAIN[np.frombuffer(raw, np.uint8)] != 0
+    inside = W.PLAIN[np.frombuffer(raw, np.uint8)] != W.GAP
     starts = np.flatnonzero(inside & ~np.append(False, inside[:-1])).tolist() + [len(raw)]
     out, at = [], 0
     for span in spans:

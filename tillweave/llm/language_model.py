@@ -210,7 +210,7 @@ def _sum_documents(documents: pa.Table, words: pa.Table) -> pa.Table:
         owner = np.repeat(np.arange(len(ids)), distinct)
 
         def total(values, owner=owner, n=len(ids)):
-            return np.bincount(owner, weights=values, minlength=n)
+            return np.bincount(owner, weights=values, minlength=n).astype(np.float64)
 
         n_known = total(times * (count[word] > 0)).astype(np.int64)
         out.append(

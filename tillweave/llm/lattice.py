@@ -19,7 +19,15 @@ class Vocabulary:
     end: float
 
     def __post_init__(self) -> None:
-        self.longest = max(map(len, self.weights), default=1)
+        # Every beginning of a piece; what is no piece itself has no weight.
+        self.beginnings: dict[str, float | None] = {}
+        for piece in self.weights:
+            for size in range(1, len(piece)):
+                self.beginnings.setdefault(piece[:size], None)
+        self.beginnings.update(self.weights)
+
+    def of_bytes(self, sign: str) -> float:
+        return sum([self.byte_weights[b] for b in sign.encode("utf-8")])
 
 
 def prior_vocabulary(model_file: str, byte_share: float = 1e-4) -> Vocabulary:
@@ -64,82 +72,78 @@ def reweighted(
     )
 
 
-def _edges(word: str, vocabulary: Vocabulary) -> list[list[tuple[int, float, str]]]:
-    """By end place: (start, weight, piece) of all pieces that end there; bytes where none would."""
-    weights, longest = vocabulary.weights, vocabulary.longest
+_NONE = object()
+
+
+def _lattice(word: str, vocabulary: Vocabulary) -> tuple[list[list], list[float]]:
+    """By end place (start, weight) of all pieces that end there, and the forward logarithms.
+
+    A sign that no piece of its own covers is spelled in bytes.
+    """
+    look, weights, log, exp = vocabulary.beginnings.get, vocabulary.weights, math.log, math.exp
     n = len(word)
-    into: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
+    into: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    forward = [0.0] * (n + 1)
     for start in range(n):
-        for end in range(start + 1, min(n, start + longest) + 1):
-            piece = word[start:end]
-            weight = weights.get(piece)
+        if start:
+            edges = into[start]
+            if len(edges) == 1:
+                before, weight = edges[0]
+                forward[start] = forward[before] + weight
+            else:
+                terms = [forward[before] + weight for before, weight in edges]
+                top = max(terms)
+                forward[start] = top + log(sum([exp(t - top) for t in terms]))
+        if word[start] not in weights:
+            into[start + 1].append((start, vocabulary.of_bytes(word[start])))
+        for end in range(start + 1, n + 1):
+            weight = look(word[start:end], _NONE)
+            if weight is _NONE:
+                break
             if weight is not None:
-                into[end].append((start, weight, piece))
-            elif end == start + 1:
-                of_bytes = sum(vocabulary.byte_weights[b] for b in piece.encode("utf-8"))
-                into[end].append((start, of_bytes, piece))
-    return into
-
-
-def _log_sum(terms: list[float]) -> float:
-    if len(terms) == 1:
-        return terms[0]
+                into[end].append((start, weight))
+    terms = [forward[before] + weight for before, weight in into[n]]
     top = max(terms)
-    return top + math.log(sum([math.exp(t - top) for t in terms]))
+    forward[n] = top + log(sum([exp(t - top) for t in terms]))
+    return into, forward
 
 
 def log_probability(word: str, vocabulary: Vocabulary) -> float:
     """Natural logarithm of the summed weight of all segmentations, by forward recursion."""
-    word = SPACE + word
-    weights, longest, exp = vocabulary.weights, vocabulary.longest, math.exp
-    forward = [0.0]
-    for end in range(1, len(word) + 1):
-        terms = []
-        for start in range(max(0, end - longest), end):
-            weight = weights.get(word[start:end])
-            if weight is not None:
-                terms.append(forward[start] + weight)
-        if word[end - 1] not in weights:
-            of_bytes = sum(vocabulary.byte_weights[b] for b in word[end - 1].encode("utf-8"))
-            terms.append(forward[end - 1] + of_bytes)
-        if len(terms) == 1:
-            forward.append(terms[0])
-        else:
-            top = max(terms)
-            forward.append(top + math.log(sum([exp(t - top) for t in terms])))
-    return forward[-1]
+    return _lattice(SPACE + word, vocabulary)[1][-1]
 
 
 def expected_counts(
     words: Iterable[tuple[str, int]], vocabulary: Vocabulary, into: dict[str, float]
 ) -> None:
     """Add to ``into`` how often each piece is expected in ``words``, (word, times) each."""
-    exp = math.exp
+    exp, log, weights = math.exp, math.log, vocabulary.weights
     for word, times in words:
-        edges = _edges(SPACE + word, vocabulary)
-        n = len(edges) - 1
-        forward = [0.0] * (n + 1)
-        for end in range(1, n + 1):
-            forward[end] = _log_sum([forward[start] + w for start, w, _ in edges[end]])
-        backward = [-math.inf] * (n + 1)
+        word = SPACE + word
+        edges, forward = _lattice(word, vocabulary)
+        n = len(word)
+        # What a place is left by so far: the logarithm of all ways from it to the end.
+        backward: list[float | None] = [None] * (n + 1)
         backward[n] = 0.0
         total = forward[n]
         for end in range(n, 0, -1):
             behind = backward[end]
-            if behind == -math.inf:
+            if behind is None:
                 continue
-            for start, weight, piece in edges[end]:
+            for start, weight in edges[end]:
                 ahead = weight + behind
+                held = backward[start]
+                if held is None:
+                    backward[start] = ahead
+                elif held > ahead:
+                    backward[start] = held + log(1.0 + exp(ahead - held))
+                else:
+                    backward[start] = ahead + log(1.0 + exp(held - ahead))
                 share = exp(forward[start] + ahead - total) * times
-                if piece in vocabulary.weights:
+                piece = word[start:end]
+                if piece in weights:
                     into[piece] = into.get(piece, 0.0) + share
                 else:
                     for b in piece.encode("utf-8"):
                         name = f"<0x{b:02X}>"
                         into[name] = into.get(name, 0.0) + share
-                held = backward[start]
-                if held == -math.inf:
-                    backward[start] = ahead
-                else:
-                    top = held if held > ahead else ahead
-                    backward[start] = top + math.log(exp(held - top) + exp(ahead - top))

@@ -60,7 +60,7 @@ TEMPLATES: dict[str, str] = {
 
 def split_words(text: str) -> list[bytes]:
     mapped = W.PLAIN[np.frombuffer(text.encode("utf-8"), np.uint8)]
-    return np.where(mapped == 0, 0x20, mapped).astype(np.uint8).tobytes().split()
+    return np.where(mapped == W.GAP, 0x20, mapped).astype(np.uint8).tobytes().split()
 
 
 class SuffixAutomaton:

@@ -171,7 +171,7 @@ def hit_features(texts: pa.Array, model: Model) -> np.ndarray:
     owner = np.searchsorted(text.first, places, side="right") - 1
     data, bounds = W.raw_bytes(texts)
     # Where each hit begins in the raw bytes: words again, by the same table.
-    inside = W.PLAIN[data] != 0
+    inside = W.PLAIN[data] != W.GAP
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     heads = bounds[:-1][bounds[:-1] < len(data)]

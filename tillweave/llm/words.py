@@ -1,7 +1,7 @@
 """Words of whole Arrow text columns, found with array operations instead of a loop over rows.
 
 A table of 256 entries sends every byte to itself, to its lower-case form or to
-0, which separates words.  UTF-8 keeps every byte of a multi-byte character at
+``GAP``, which separates words and is no byte of UTF-8.  UTF-8 keeps every byte of a multi-byte character at
 0x80 or above, so splitting at ASCII bytes never cuts a character.
 """
 
@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame
 CHUNK_BYTES = 8 << 20
 
 
+GAP = 0xFF
+
+
 def byte_table(separators: Iterable[int], lower: bool = True) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     if lower:
         table[0x41:0x5B] += 32
-    table[list(separators)] = 0
+    table[list(separators)] = GAP
     return table
 
 
@@ -64,9 +67,9 @@ def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cut(data: np.ndarray, bounds: np.ndarray, keep: np.ndarray, extra: np.ndarray | None = None) -> Words:
-    """Runs of bytes that ``keep`` maps to other than 0; ``extra`` marks more places where one starts."""
+    """Runs of bytes that ``keep`` maps to other than ``GAP``; ``extra`` marks more places where one starts."""
     mapped = keep[data]
-    inside = mapped != 0
+    inside = mapped != GAP
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     heads = bounds[:-1][bounds[:-1] < len(data)]
