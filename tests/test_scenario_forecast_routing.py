@@ -88,8 +88,10 @@ def test_projection_keeps_the_shape(make_lines):
 
 def test_verify_and_totals(make_lines):
     star = Sc.project_values(make_lines({}, {"chain": "south"}), PARAMS)
-    rows = {r.chain: r for r in Sc.totals(star).collect()}
-    assert rows["ALL"].revenue_m == pytest.approx(215 / 1e6)
+    rows = Sc.totals(star).collect()
+    (whole,) = [r for r in rows if r.is_total]
+    assert whole.chain is None and whole.revenue_m == pytest.approx(215 / 1e6)
+    assert {r.chain for r in rows if not r.is_total} == {"north", "south"}
     check = {r.chain: (r.rows, r.start_date) for r in Sc.verify(star).collect()}
     assert check == {"north": (1, "2024-03-05"), "south": (1, "2024-03-05")}
 
@@ -103,6 +105,10 @@ def test_chain_series_add_up_to_the_combined_one(make_lines):
     assert Sr.combine(by_chain).first().y == 200
     both = {r.series: r.y for r in Sr.with_combined(by_chain).collect()}
     assert both == {"north": 100, "south": 100, "ALL": 200}
+    named = Sr.monthly_by_chain(make_lines({"chain": "ALL"}, {}))
+    with pytest.raises(Exception, match="name the combined series"):
+        Sr.with_combined(named).collect()
+    assert {r.series for r in Sr.with_combined(named, "every").collect()} == {"ALL", "north", "every"}
 
 
 def test_partial_last_month_can_be_dropped(make_lines):

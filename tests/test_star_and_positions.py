@@ -7,11 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillweave import schema as S
 from tillweave.operators import star as D
-from tillweave.operators.positions import number_rows
+from tillweave.operators.cleaning import FeedConfig, tag_feed
+from tillweave.operators.positions import number_in_file_order, number_rows
 from tillweave.session import scratch_path
-from tillweave.sources import sample_tables as B
+from tillweave.sources import feeds as Feeds
 from tillweave.sources import warehouse as W
 
 
@@ -137,14 +137,56 @@ def test_sql_surface(spark, stored):
     assert {(r[0], r[1]) for r in rows} == {("Ohio", 2), ("Iowa", 1)}
 
 
-def test_dimensions_from_first_lines_equal_those_from_all_lines(spark, sf_dir):
-    keys = ["chain", *S.BOOKKEEPING]
-    place = ["restaurant_id", *S.LOCATION_COLUMNS, *keys]
-    item = ["item_number", "item_description", "item_code", "item_category", "menu_price", *keys]
-    for key, columns, derive in (
-        ("restaurant_id", place, D.restaurant_dimension),
-        ("item_number", item, D.product_dimension),
-    ):
-        few = derive(B.first_lines(spark, sf_dir, key, columns))
-        full = derive(B.order_lines(spark, sf_dir, columns))
-        assert few.exceptAll(full).isEmpty() and full.exceptAll(few).isEmpty()
+def test_a_broken_load_leaves_the_star_as_it_was(spark, make_lines):
+    folder = scratch_path(spark, "test-broken")
+    W.write_star(spark, make_lines({}), folder)
+    with pytest.raises(ValueError, match="known money: 1"):
+        W.write_star(spark, make_lines({}, {"profit": None}), folder)
+    assert W.read_star(spark, folder).orders.count() == 1
+
+
+def test_load_check_counts_lost_lines(spark, make_lines):
+    lines = make_lines({}, {"restaurant_id": 2}, {"restaurant_id": 2})
+    star = D.Star.from_lines(lines)
+    lost = D.Star(star.orders, star.restaurants.where("restaurant_id = 1"), star.products, star.customers)
+    found = {(r.table_name, r.rule): r.violations for r in W.load_check(lost).collect()}
+    assert found.pop(("orders", "finds its restaurants")) == 2
+    assert set(found.values()) == {0}
+
+
+def test_file_order_does_not_depend_on_splits(spark):
+    path = scratch_path(spark, "test-files")
+    for name, first, count in (("a", 0, 10), ("b", 10, 20_000), ("c", 20_010, 3)):
+        rows = spark.range(first, first + count).coalesce(1)
+        rows.write.option("parquet.block.size", 16_384).parquet(f"{path}/{name}")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    for size in ("4k", "128m"):
+        spark.conf.set(key, size)
+        feed = spark.read.option("recursiveFileLookup", "true").parquet(path)
+        numbered = number_in_file_order(feed, "n", start=5)
+        assert numbered.where("n <> id + 5").count() == 0 and numbered.count() == 20_013
+        plan = numbered.where("id > 20011")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(id,20011)" in plan
+        assert "Sort" not in plan and "hashpartitioning" not in plan
+    spark.conf.set(key, before)
+
+
+def test_unnumbered_feeds_are_refused(spark):
+    with pytest.raises(ValueError, match="row_ordinal"):
+        tag_feed(spark.range(1), FeedConfig("x", 0))
+    path = scratch_path(spark, "test-csv-feed")
+    Feeds.write_csv(spark.range(1), path)
+    with pytest.raises(ValueError, match="csv"):
+        Feeds.read_feed(spark, path, spark.range(1).schema, "csv")
+
+
+def test_csv_keeps_texts(spark):
+    rows = [("a\nb", 1), ('say "x", y', 2), ("", 3), (None, 4), ("  s ", 5), ("back\\n", 6), ("\r\n\"", 7), ("", 8)]
+    df = spark.createDataFrame(rows, "t string, n int")
+    path = scratch_path(spark, "test-texts")
+    Feeds.write_csv(df, path)
+    back = [tuple(r) for r in Feeds.read_csv(spark, path, df.schema).collect()]
+    assert sorted(back, key=lambda r: r[1]) == rows
+    with pytest.raises(Exception, match="null mark"):
+        Feeds.write_csv(spark.createDataFrame([("\\N",)], "t string"), scratch_path(spark, "x"))

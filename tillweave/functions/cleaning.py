@@ -12,9 +12,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Years a nanosecond timestamp can hold in full; text that parses to anything
-# outside (such as a bare five-digit serial) is treated as unparseable.
-FIRST_YEAR, LAST_YEAR = 1678, 2261
+# The first and last day that a nanosecond timestamp can hold.
+FIRST_DATE, LAST_DATE = "1677-09-21", "2262-04-11"
 
 MONTHS = (
     "January", "February", "March", "April", "May", "June",
@@ -23,12 +22,25 @@ MONTHS = (
 SEASONS = ("Spring", "Summer", "Fall", "Winter")
 
 
-def lenient_date(col: Column, formats: Sequence[str] = ()) -> Column:
-    """Parse ISO text (then any extra `formats`) to a date, null when it does not parse."""
-    parsed = col.try_cast("date")
+def any_date(col: Column, formats: Sequence[str] = ()) -> Column:
+    """Text as a date of any year: ISO, then `formats`, then a spreadsheet serial.
+
+    Five or six digits are a serial and not a year; eight are a date without
+    dashes, if a format says so.
+    """
+    serial = col.rlike("^[0-9]{5,6}$")
+    parsed = F.when(~serial, col.try_cast("date"))
     for fmt in formats:
         parsed = F.coalesce(parsed, F.try_to_timestamp(col, F.lit(fmt)).cast("date"))
-    return F.when(F.year(parsed).between(FIRST_YEAR, LAST_YEAR), parsed)
+    return F.coalesce(parsed, F.when(serial, serial_date(col.try_cast("double"))))
+
+
+def lenient_date(
+    col: Column, formats: Sequence[str] = (), first: str = FIRST_DATE, last: str = LAST_DATE
+) -> Column:
+    """`any_date` between `first` and `last`, null when it does not parse or lies outside."""
+    parsed = any_date(col, formats)
+    return F.when(parsed.between(F.lit(first).cast("date"), F.lit(last).cast("date")), parsed)
 
 
 def serial_date(col: Column) -> Column:

@@ -30,6 +30,9 @@ class FeedConfig:
     drop_columns: Sequence[str] = ()
     date_formats: Sequence[str] = ()
     time_format: str = "H:m:s"
+    #: Dates outside are nulled and counted in the audit.
+    first_date: str = C.FIRST_DATE
+    last_date: str = C.LAST_DATE
 
 
 # The readable labels of the coded flags.
@@ -38,14 +41,10 @@ BINARY_LABELS = {1: "Yes", 0: "No"}
 
 
 def tag_feed(df: DataFrame, cfg: FeedConfig) -> DataFrame:
-    """Add the chain tag and the feed rank; number the rows if the reader did not.
-
-    The numbering follows the scan, so `df` should then come straight from files.
-    """
-    tagged = df.withColumns({"chain": F.lit(cfg.chain), S.FEED_RANK: F.lit(cfg.rank)})
-    if S.ROW_ORDINAL in df.columns:
-        return tagged
-    return tagged.withColumn(S.ROW_ORDINAL, F.monotonically_increasing_id())
+    """Add the chain tag and the feed rank; the reader must have numbered the rows."""
+    if S.ROW_ORDINAL not in df.columns:
+        raise ValueError(f"feed {cfg.chain} has no {S.ROW_ORDINAL}; read it with read_feed")
+    return df.withColumns({"chain": F.lit(cfg.chain), S.FEED_RANK: F.lit(cfg.rank)})
 
 
 def drop_listed(df: DataFrame, cfg: FeedConfig) -> DataFrame:
@@ -57,7 +56,7 @@ def parse_dates(df: DataFrame, cfg: FeedConfig) -> DataFrame:
     if isinstance(df.schema["order_purchase_date"].dataType, T.NumericType):
         parsed = C.serial_date(raw)
     else:
-        parsed = C.lenient_date(raw, cfg.date_formats)
+        parsed = C.lenient_date(raw, cfg.date_formats, cfg.first_date, cfg.last_date)
     return df.withColumn("order_purchase_date", parsed)
 
 

@@ -14,6 +14,35 @@ from tillweave.session import scratch_path
 _PLACE_BITS = 33
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def number_in_file_order(files: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Number rows `start, start+1, ...` by file path and place in the file.
+
+    `files` must come straight from parquet files.  A row's number is its place
+    in its file plus the rows of the files before it, so nothing is sorted or
+    shuffled but one count per file, and neither split sizes nor file sizes
+    change it.  Filters above are still pushed to the scan.
+    """
+    path = F.col("_metadata.file_path").alias("_file")
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file, stored so that its size is known to the join.
+    offsets = _stored(
+        files.select(path)
+        .groupBy("_file")
+        .agg(F.count("*").alias("_n"))
+        .select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")),
+        "file-offsets",
+    )
+    placed = files.select("*", path, F.col("_metadata.row_index").alias("_row"))
+    number = (F.col("_before") + F.col("_row") + F.lit(start)).cast("bigint")
+    return placed.join(offsets, "_file").select(*files.columns, number.alias(name))
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -24,31 +53,29 @@ def number_rows(
     """Number rows `start, start+1, ...` in `order`, separately per `group`.
 
     A ranking window would send each group, or the whole table, to one task.
-    Instead the rows are range-partitioned and sorted.  The last sort key is the
-    row's place in its input partition, so even identical rows spread over
-    partitions.  That place is taken after a local sort on the whole row, by its
-    hash first, which settles nearly every comparison: a task that is run again
-    after a lost executor then hands out the same places, whatever order its
-    input arrives in.  The sorted rows are written once to
-    the shared folder, because the numbering reads them twice and both passes
-    must see the same partitions.  Each row's number is its place within its
-    partition plus the rows of its group in earlier partitions.  The pass that
-    counts those reads two columns only.
+    Instead the rows are stored once, range-partitioned and sorted.  The last
+    sort key is the row's file and place in it, so even identical rows spread
+    over partitions and a task that is run again gives the same order.  The
+    sorted rows are stored as well, because the numbering reads them twice and
+    both passes must see the same partitions.  Each row's number is its place
+    within its partition plus the rows of its group in earlier partitions.  The
+    pass that counts those reads the group and the place only.
     """
-    spark = df.sparkSession
     keys = list(group)
-    sort_keys = [*keys, *order, "_scan"]
-    path = scratch_path(spark, "sorted")
-    (
-        df.sortWithinPartitions(F.xxhash64(*df.columns), *df.columns)
-        .withColumn("_scan", F.monotonically_increasing_id())
+    sort_keys = [*keys, *order, "_file", "_row"]
+    ordered = _stored(
+        _stored(df, "unsorted")
+        .select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.row_index").alias("_row"),
+        )
         .repartitionByRange(*sort_keys)
         .sortWithinPartitions(*sort_keys)
-        .drop("_scan")
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .write.parquet(path)
+        .drop("_file", "_row")
+        .withColumn("_slot", F.monotonically_increasing_id()),
+        "sorted",
     )
-    ordered = spark.read.parquet(path)
     part: Column = F.shiftright("_slot", _PLACE_BITS)
     counts = ordered.groupBy(*keys, part.alias("_part")).agg(
         F.min("_slot").alias("_first"), F.count("*").alias("_n")
@@ -56,23 +83,18 @@ def number_rows(
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # At most one row per partition and group.
-    offsets = counts.select(
-        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
-        F.col("_part").alias("_p"),
-        "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-    ).checkpoint()
+    # At most one row per partition and group, stored so that its size is known to the join.
+    offsets = _stored(
+        counts.select(
+            *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)],
+            F.col("_part").alias("_p"),
+            "_first",
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        ),
+        "offsets",
+    )
     match = F.shiftright(ordered["_slot"], _PLACE_BITS) == offsets["_p"]
     for i, k in enumerate(keys):
         match = match & ordered[k].eqNullSafe(offsets[f"_g{i}"])
     number = F.col("_slot") - F.col("_first") + F.col("_before") + F.lit(start)
-    return ordered.join(_broadcast_if_small(offsets), match).select(
-        number.cast("bigint").alias(name), *df.columns
-    )
-
-
-def _broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast only after counting that the table is small."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return ordered.join(offsets, match).select(number.cast("bigint").alias(name), *df.columns)

@@ -86,8 +86,12 @@ def date_ranges(df: DataFrame, column: str = "order_purchase_date") -> DataFrame
         F.max(column).cast("string").alias("last_date"),
         F.count(column).alias("dated_rows"),
     )
-    stage = F.when(F.col("_all") == 1, F.lit("merged")).otherwise(F.col("chain"))
-    return ranged.select(stage.alias("stage"), "first_date", "last_date", "dated_rows")
+    merged = F.col("_all") == 1
+    stage = F.when(merged, F.lit("merged")).otherwise(F.col("chain"))
+    return ranged.select(
+        stage.alias("stage"), merged.cast("int").alias("is_total"), "first_date", "last_date",
+        "dated_rows",
+    )
 
 
 def bad_dates(parsed: DataFrame, cfg: FeedConfig) -> DataFrame:
@@ -111,7 +115,9 @@ def suspicious_dates(parsed: DataFrame, cfg: FeedConfig) -> DataFrame:
 
 def clean_audit(raw: DataFrame, cfg: FeedConfig) -> DataFrame:
     """What cleaning does to one feed, as (chain, step, metric, value), in one pass."""
-    date = C.lenient_date(F.col("order_purchase_date"), cfg.date_formats)
+    raw_date = F.col("order_purchase_date")
+    date = C.lenient_date(raw_date, cfg.date_formats, cfg.first_date, cfg.last_date)
+    outside = C.any_date(raw_date, cfg.date_formats).isNotNull() & date.isNull()
     category = F.col("item_category")
     mapped = C.relabel(category, cfg.category_map, keep_unmapped=True)
     clock = C.clock_text(F.col("order_purchase_time"), cfg.time_format)
@@ -122,7 +128,8 @@ def clean_audit(raw: DataFrame, cfg: FeedConfig) -> DataFrame:
 
     metrics: dict[str, tuple[str, Column]] = {
         "rows": ("load", F.count("*")),
-        "unparsed_dates": ("dates", F.count_if(lost("order_purchase_date", date))),
+        "unparsed_dates": ("dates", F.count_if(lost("order_purchase_date", date) & ~outside)),
+        "out_of_range_dates": ("dates", F.count_if(outside)),
         "sentinel_dates": ("dates", F.count_if(bad)),
         "suspicious_dates": ("dates", F.count_if(F.year(date) < F.lit(cfg.suspicious_before))),
         "unparsed_order_numbers": (
@@ -149,6 +156,7 @@ def clean_audit(raw: DataFrame, cfg: FeedConfig) -> DataFrame:
 _ACTIONS = {
     "sentinel_dates": "set to null",
     "unparsed_dates": "set to null",
+    "out_of_range_dates": "set to null",
     "unparsed_order_numbers": "set to null",
     "unparsed_times": "set to null",
     "relabelled_categories": "relabelled",

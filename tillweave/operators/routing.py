@@ -41,12 +41,12 @@ def route(questions: DataFrame, text: str = "question", rules: Sequence = RULES)
 def answer(routed: DataFrame, answers: DataFrame) -> DataFrame:
     """Attach each question's one-line insight.
 
-    `answers` holds one row per intent, a handful by construction, so it is
-    the side to broadcast.
+    `answers` holds one row per intent.  No broadcast is hinted: the engine
+    sees its size.
     """
     line = F.format_string(
         "Top %s: %s (%s %s)", "intent", "top_label", "detail_name", "detail_value"
     )
-    return routed.join(F.broadcast(answers), "intent", "left").withColumn(
+    return routed.join(answers, "intent", "left").withColumn(
         "insight", F.when(F.col("top_label").isNotNull(), line)
     )

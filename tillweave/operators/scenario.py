@@ -114,7 +114,7 @@ def verify(orders: DataFrame) -> DataFrame:
 
 
 def totals(orders: DataFrame) -> DataFrame:
-    """Revenue and profit in millions per chain and over all, in one pass."""
+    """Revenue and profit in millions per chain and, flagged, over all, in one pass."""
     money = {
         c: N.exact_sum(F.col(c), orders.schema[c].dataType).cast("double") / 1_000_000
         for c in ("order_total_cost", "profit")
@@ -124,5 +124,6 @@ def totals(orders: DataFrame) -> DataFrame:
         money["order_total_cost"].alias("revenue_m"),
         money["profit"].alias("profit_m"),
     )
-    name = F.when(F.col("_all") == 1, F.lit("ALL")).otherwise(F.col("chain"))
-    return summed.select(name.alias("chain"), "revenue_m", "profit_m")
+    return summed.select(
+        "chain", F.col("_all").cast("int").alias("is_total"), "revenue_m", "profit_m"
+    )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillweave.functions import numbers as N
 
+#: Name of the combined series; a chain of that name is refused.
 COMBINED = "ALL"
 
 
+def _named(name: str) -> Column:
+    """The chain's name, or an error if the combined series could not be told from it."""
+    clash = F.raise_error(F.lit(f"a chain is called {name}; name the combined series otherwise"))
+    return F.when(F.col("series") == name, clash).otherwise(F.col("series"))
+
+
 def monthly_by_chain(
     orders: DataFrame, value: str = "order_total_cost", drop_partial_last_month: bool = False
 ) -> DataFrame:
@@ -32,16 +39,16 @@ def monthly_by_chain(
     return monthly.select("series", "ds", "y")
 
 
-def combine(by_chain: DataFrame) -> DataFrame:
+def combine(by_chain: DataFrame, name: str = COMBINED) -> DataFrame:
     """All chains added up into one series."""
     return by_chain.groupBy("ds").agg(F.sum("y").alias("y")).select(
-        F.lit(COMBINED).alias("series"), "ds", "y"
+        F.lit(name).alias("series"), "ds", "y"
     )
 
 
-def with_combined(by_chain: DataFrame) -> DataFrame:
+def with_combined(by_chain: DataFrame, name: str = COMBINED) -> DataFrame:
     """Every chain's series and the combined one, from one scan of the lines."""
-    targets = F.explode(F.array("series", F.lit(COMBINED)))
+    targets = F.explode(F.array(_named(name), F.lit(name)))
     return (
         by_chain.select(targets.alias("series"), "ds", "y")
         .groupBy("series", "ds")

@@ -94,6 +94,8 @@ class Star:
     restaurants: DataFrame | None = None
     products: DataFrame | None = None
     customers: DataFrame | None = None
+    #: Stored order lines with location and row order, where the star was loaded from storage.
+    lines: DataFrame | None = None
 
     @classmethod
     def from_lines(cls, lines: DataFrame) -> Star:

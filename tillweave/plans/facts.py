@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillweave.functions import numbers as N
 from tillweave.operators.star import Star
+from tillweave.plans.catalogue import CATALOGUE
 
 _MILLION, _THOUSAND = 1_000_000, 1_000
 
@@ -43,6 +44,19 @@ def grouped_once(lines: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFra
     return grouped.withColumn("key_set", tag).drop("_gid")
 
 
+def _located(ledger: DataFrame, star: Star, key_set: int) -> DataFrame:
+    """The ledger with the state of its restaurants; `key_set` is the one grouped by them.
+
+    As in the reports by state, lines of an unknown restaurant drop out and a
+    known restaurant without a state stays, under a null.
+    """
+    places = star.restaurants.select(
+        "restaurant_id", F.col("restaurant_state").alias("_state"), F.lit(True).alias("_placed")
+    )
+    joined = ledger.join(places, "restaurant_id", "left")
+    return joined.where((F.col("key_set") != key_set) | F.col("_placed")).drop("_placed")
+
+
 def _millions(col: str, dtype_scale: int) -> Column:
     return F.round(N.scaled_total(F.col(col), dtype_scale, _MILLION), 2).cast("double")
 
@@ -55,11 +69,7 @@ def fact_sheet(star: Star) -> DataFrame:
     """
     sets = [["season"], ["chain", "restaurant_id"], ["item_category"], ["order_purchase_method"], ["gender"]]
     fine = grouped_once(star.orders, sets)
-    located = fine.join(
-        star.restaurants.select("restaurant_id", F.col("restaurant_state").alias("_state")),
-        "restaurant_id",
-        "left",
-    )
+    located = _located(fine, star, 1)
 
     def section(name: str, label: str) -> Column:
         return F.struct(F.lit(name).alias("section"), F.col(label).alias("label"))
@@ -84,7 +94,7 @@ def fact_sheet(star: Star) -> DataFrame:
             F.sum("priced").alias("priced"),
             F.count_distinct("restaurant_id").alias("sites"),
         )
-        .where(F.col("label").isNotNull() | F.col("section").isin("category", "method", "gender", "chain"))
+        .where(F.col("label").isNotNull() | (F.col("section") != "season"))
     )
     values = ledger.select(
         "section",
@@ -140,15 +150,15 @@ def fact_sheet(star: Star) -> DataFrame:
 
 
 def top_answers(star: Star) -> DataFrame:
-    """First row of each question report: (intent, top_label, detail_name, detail_value)."""
+    """First row of each question report, and how much it was picked from.
+
+    (intent, top_label, detail_name, detail_value, shown_rows, total_rows): the
+    rows that the intent's report shows, and the order lines of the dataset.
+    """
     sets = [["restaurant_id"], ["item_description", "chain", "item_category"], ["season", "chain"],
             ["item_category"], ["gender", "chain"], ["chain"]]
     fine = grouped_once(star.orders, sets)
-    located = fine.join(
-        star.restaurants.select("restaurant_id", F.col("restaurant_state").alias("_state")),
-        "restaurant_id",
-        "left",
-    )
+    located = _located(fine, star, 0)
     # The intents in the order of the key sets above.
     intents = ["state", "item", "season", "category", "gender", "default"]
     intent = F.element_at(F.array(*[F.lit(i) for i in intents]), F.col("key_set") + 1)
@@ -165,13 +175,14 @@ def top_answers(star: Star) -> DataFrame:
     keyed = located.withColumn("intent", intent).select(
         "intent", label.alias("label"), chain.alias("chain"),
         F.when(is_["item"], F.col("item_category")).alias("category"),
-        "revenue", "profit", "units",
-    ).where(~((F.col("intent").isin("state", "season")) & F.col("label").isNull()))
+        "revenue", "profit", "units", "rows",
+    ).where((F.col("intent") != "season") | F.col("label").isNotNull())
     whole = keyed.groupBy("intent", "label", "chain").agg(
         F.min("category").alias("category"),
         F.sum("revenue").alias("revenue"),
         F.sum("profit").alias("profit"),
         F.sum("units").alias("units"),
+        F.sum("rows").alias("rows"),
     )
     scale = N.money_scale(star.orders.schema["order_total_cost"].dataType)
     profit_scale = N.money_scale(star.orders.schema["profit"].dataType)
@@ -205,13 +216,23 @@ def top_answers(star: Star) -> DataFrame:
             "category", "Profit M", "gender", "Chain", "default", "Revenue M",
         )]
     )
-    return (
-        whole.withColumn("_first", first)
-        .where(F.col("_first") == 1)
-        .select(
-            "intent",
-            F.col("label").alias("top_label"),
-            F.element_at(headings, F.col("intent")).alias("detail_name"),
-            detail.alias("detail_value"),
-        )
+    of_intent = Window.partitionBy("intent")
+    limits = F.create_map(
+        *[F.lit(x) for i in intents if (n := CATALOGUE[f"qa_{i}"].limit) for x in (i, n)]
+    )
+    groups = F.count("*").over(of_intent)
+    firsts = whole.select(
+        "*",
+        first.alias("_first"),
+        F.least(groups, F.try_element_at(limits, F.col("intent"))).alias("shown_rows"),
+        F.sum("rows").over(of_intent).alias("_lines"),
+    ).where(F.col("_first") == 1)
+    # One row per intent is left; those that drop no key have seen every line.
+    return firsts.select(
+        "intent",
+        F.col("label").alias("top_label"),
+        F.element_at(headings, F.col("intent")).alias("detail_name"),
+        detail.alias("detail_value"),
+        "shown_rows",
+        F.max("_lines").over(Window.partitionBy(F.lit(0))).alias("total_rows"),
     )

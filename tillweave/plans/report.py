@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +118,30 @@ def _one_step(lines: DataFrame, spec: ReportSpec, rsd: float | None) -> DataFram
     return lines.groupBy(*spec.dims).agg(*aggregates)
 
 
+def _distinct_measures(spec: ReportSpec) -> int:
+    return sum(m.kind == DISTINCT for m in spec.measures)
+
+
+def _split_distinct(lines: DataFrame, spec: ReportSpec) -> DataFrame:
+    """Plain measures in one aggregate, each distinct count in a narrow one of its own.
+
+    Several distinct counts in one aggregate would repeat every wide line once
+    per count.  Each count reads the group keys and its own column only.
+    """
+    counted = [m for m in spec.measures if m.kind == DISTINCT]
+    plain = replace(spec, measures=tuple(m for m in spec.measures if m.kind != DISTINCT))
+    result = _one_step(lines, plain, None)
+    for m in counted:
+        pairs = lines.select(*spec.dims, m.column).distinct()
+        count = pairs.groupBy(*spec.dims).agg(F.count(m.column).alias(m.name))
+        match = reduce(
+            lambda a, b: a & b, [result[d].eqNullSafe(count[d]) for d in spec.dims]
+        )
+        kept = [result[c] for c in result.columns]
+        result = result.join(count, match).select(*kept, count[m.name])
+    return result.select(*spec.dims, *[m.name for m in spec.measures])
+
+
 def _two_step(lines: DataFrame, spec: ReportSpec, places: DataFrame | None) -> DataFrame:
     """Aggregate to fine keys, attach the location, regroup to the report's keys."""
     types = {f.name: f.dataType for f in lines.schema.fields}
@@ -197,6 +222,8 @@ def run_report(
             result = _two_step(lines, spec, places)
     elif spec.carry:
         result = _two_step(lines, spec, None)
+    elif spec.dims and approx_distinct is None and _distinct_measures(spec) > 1:
+        result = _split_distinct(lines, spec)
     else:
         result = _one_step(lines, spec, approx_distinct)
 

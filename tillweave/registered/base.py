@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave import schema as S
-from tillweave.operators.scenario import project_values
-from tillweave.operators.star import Star, state_dimension
+from tillweave.operators.cleaning import clean_feed, merge_feeds
+from tillweave.operators.scenario import project, project_values
+from tillweave.operators.star import Star
 from tillweave.plans.catalogue import CATALOGUE
 from tillweave.plans.report import ReportSpec, run_report
+from tillweave.session import scratch_path
 from tillweave.sources import sample_tables as B
+from tillweave.sources.warehouse import write_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-PLACE_KEYS = ("restaurant_id", "restaurant_state", "chain", *S.BOOKKEEPING)
 CALENDAR = {"order_month", "order_month_name", "order_year"}
 
 
@@ -33,9 +35,33 @@ def registered(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-def place_lines(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
-    """Lines from which the restaurant dimension is derived."""
-    return B.first_lines(spark, sf_dir, "restaurant_id", columns)
+_STARS: dict[tuple[str, str, bool], Star] = {}
+
+
+def load_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The sample feeds, cleaned, merged and loaded as a star."""
+    feeds = [clean_feed(B.raw_feed(spark, sf_dir, cfg), cfg) for cfg in B.FEEDS]
+    return write_star(spark, merge_feeds(feeds), scratch_path(spark, "star"))
+
+
+def load_projected_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The loaded lines, projected and loaded as a star of their own."""
+    projected = project(stored_star(spark, sf_dir).lines, B.SCENARIO, B.LINE_ORDER)
+    return write_star(spark, projected, scratch_path(spark, "projected-star"))
+
+
+def stored_star(spark: SparkSession, sf_dir: str, projected: bool = False) -> Star:
+    """The star of these tables, loaded by the application's first query that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir, projected)
+    if key not in _STARS:
+        load = load_projected_star if projected else load_star
+        _STARS[key] = load(spark, sf_dir)
+    return _STARS[key]
+
+
+def lines(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
+    """The asked-for columns of the stored order lines."""
+    return stored_star(spark, sf_dir).lines.select(*dict.fromkeys(columns))
 
 
 def dataset(
@@ -45,9 +71,11 @@ def dataset(
     projected: bool = False,
     located: bool = False,
 ) -> Star:
-    """A star holding only what a report reads.
+    """The stored star, reduced to what a report reads.
 
-    The projected dataset also needs the columns its rules look at.
+    The projected dataset is computed from the stored lines: projecting values
+    is arithmetic within a row.  It also needs the columns its rules look at.
+    Restaurants are the same in both.
     """
     need = set(columns) - set(S.LOCATION_COLUMNS)
     asked = sorted(need)
@@ -58,11 +86,11 @@ def dataset(
             need.add("order_purchase_method")
         if need & set(S.MONEY_COLUMNS):
             need.add("chain")
-    lines = B.order_lines(spark, sf_dir, sorted(need), exact=not projected)
+    orders = lines(spark, sf_dir, sorted(need))
     if projected:
-        lines = project_values(lines, B.SCENARIO)
-    places = state_dimension(place_lines(spark, sf_dir, PLACE_KEYS)) if located else None
-    return Star(orders=lines.select(*asked), restaurants=places)
+        orders = project_values(orders, B.SCENARIO)
+    places = stored_star(spark, sf_dir).restaurants if located else None
+    return Star(orders=orders.select(*asked), restaurants=places)
 
 
 def star_for(

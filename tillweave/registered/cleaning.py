@@ -44,7 +44,9 @@ def _dated(spark, sf_dir):
 
 
 _DATED = """(SELECT o_orderkey AS order_number,
-    CASE WHEN o_orderkey % 50 IN (0, 1, 2) THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day
+    CASE WHEN o_orderkey % 50 IN (0, 1) THEN NULL
+         WHEN o_orderkey % 50 = 2 THEN DATE '1970-01-01'
+         ELSE CAST(o_orderdate AS DATE) END AS day
   FROM orders)"""
 
 
@@ -176,16 +178,24 @@ def flag_labels(spark, sf_dir):
     )
 
 
+_SECOND_FEED = [c if c != "profit" else "Profit" for c in S.RAW_FIELDS] + ["item_product_cost"]
+
+
 @registered(
     "drop_all_null",
-    """SELECT 'item_product_cost' AS column_name, CAST(0 AS BIGINT) AS known, 1 AS all_null
-       UNION ALL SELECT 'order_number', COUNT(*), 0 FROM lineitem WHERE l_linestatus = 'O'
-       UNION ALL SELECT 'item_total_cost', COUNT(*), 0 FROM lineitem WHERE l_linestatus = 'O'""",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS known, 0 AS all_null, 1 AS kept"
+        " FROM lineitem WHERE l_linestatus = 'O'"
+        for c in _SECOND_FEED[:-1]
+    )
+    + " UNION ALL SELECT 'item_product_cost', CAST(0 AS BIGINT), 1, 0",
 )
 def drop_all_null(spark, sf_dir):
-    """Which columns of the second feed hold no value at all."""
-    columns = ["item_product_cost", "order_number", "item_total_cost"]
-    return Q.all_null_columns(B.raw_feed(spark, sf_dir, B.FEED_B, columns), columns)
+    """Known values of every column of the second feed, and which columns are then left."""
+    raw = B.raw_feed(spark, sf_dir, B.FEED_B).drop(S.ROW_ORDINAL)
+    left = Q.drop_all_null(raw, raw.columns).columns
+    found = Q.all_null_columns(raw, raw.columns)
+    return found.withColumn("kept", F.col("column_name").isin(left).cast("int"))
 
 
 @registered(
@@ -205,7 +215,7 @@ def distinct_periods(spark, sf_dir):
 )
 def filter_not_null(spark, sf_dir):
     columns = ["chain", S.ROW_ORDINAL, "item_number", "season"]
-    lines = B.order_lines(spark, sf_dir, [*columns, "order_purchase_date", "has_children"])
+    lines = R.lines(spark, sf_dir, [*columns, "order_purchase_date", "has_children"])
     return keep_known(lines, ["order_purchase_date", "has_children"]).select(*columns)
 
 
@@ -218,4 +228,4 @@ def filter_multi_select(spark, sf_dir):
     """Two filters set, one left empty: the empty one does not filter."""
     chosen = {"chain": [], "season": ["Spring", "Winter"], "gender": ["BUILDING", "MACHINERY"]}
     columns = ["chain", S.ROW_ORDINAL, "item_number", "season", "gender"]
-    return keep_selected(B.order_lines(spark, sf_dir, columns), chosen)
+    return keep_selected(R.lines(spark, sf_dir, columns), chosen)

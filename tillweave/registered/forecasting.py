@@ -67,7 +67,8 @@ horizon AS (
 predicted AS (
   SELECT h.series, h.ds, h.is_future,
          (m.intercept + m.slope * date_diff('month', m.start, h.ds)) * COALESCE(s.s, 1.0) AS yhat,
-         m.sigma * 1.959964 AS margin
+         m.intercept + m.slope * date_diff('month', m.start, h.ds) AS trend,
+         COALESCE(s.s, 1.0) AS seasonal, m.sigma * 1.959964 AS margin
   FROM horizon h JOIN model m ON m.series = h.series
   LEFT JOIN season s ON s.series = h.series AND s.m = month(h.ds)
 )
@@ -177,15 +178,18 @@ def forecast_future(spark, sf_dir):
 
 @registered(
     "forecast_components",
-    _MODEL_SQL + f"""SELECT series, {_ISO}, {_sql_m("trend")} AS trend_m,
-       ROUND(seasonal, 6) + 0.0 AS seasonal, {_sql_m("residual")} AS residual_m FROM parts""",
+    _MODEL_SQL + f"""SELECT p.series, strftime(p.ds, '%Y-%m-%d') AS ds,
+       CAST(p.is_future AS INTEGER) AS is_future, {_sql_m("p.trend")} AS trend_m,
+       ROUND(p.seasonal, 6) + 0.0 AS seasonal, {_sql_m("t.y - p.yhat")} AS residual_m
+       FROM predicted p LEFT JOIN timed t ON t.series = p.series AND t.ds = p.ds""",
 )
 def forecast_components(spark, sf_dir):
-    parts = _components(spark, sf_dir)
+    """Trend and season over history and horizon, and what the history leaves over."""
+    parts = _prediction(spark, sf_dir).withColumn("residual", F.col("y") - F.col("yhat"))
     return R.iso_dates(
         parts.select(
-            "series", "ds", _m("trend").alias("trend_m"),
-            plus_zero(F.round("seasonal", 6)).alias("seasonal"),
+            "series", "ds", F.col("is_future").cast("int").alias("is_future"),
+            _m("trend").alias("trend_m"), plus_zero(F.round("seasonal", 6)).alias("seasonal"),
             _m("residual").alias("residual_m"),
         )
     )

@@ -43,10 +43,35 @@ def src_two_feeds(spark, sf_dir):
     )
 
 
-@registered("csv_round_trip", f"SELECT {R.SHOWN_LINE} FROM lines")
+# Texts that a careless file format changes (fixed values), by item number modulo their count.
+_AWKWARD = ("two\nlines", 'a "quoted", part', "", None, "  spaced ", "back\\slash", "'\r\n\"")
+
+
+def _awkward_sql() -> str:
+    def text(value: str | None) -> str:
+        if value is None:
+            return "NULL"
+        quoted = value.replace("'", "''")
+        for sign in "\n\r":
+            quoted = quoted.replace(sign, f"' || chr({ord(sign)}) || '")
+        return f"'{quoted}'"
+
+    cases = " ".join(f"WHEN {i} THEN {text(v)}" for i, v in enumerate(_AWKWARD))
+    return f"CASE item_number % 20 {cases} ELSE item_description END AS item_description"
+
+
+@registered(
+    "csv_round_trip",
+    f"""SELECT {R.SHOWN_LINE}
+        FROM (SELECT * REPLACE ({_awkward_sql()}) FROM lines)""",
+)
 def csv_round_trip(spark, sf_dir):
+    """Lines with line ends, quotes, empty texts and nulls, through a CSV file and back."""
     path = scratch_path(spark, "lines-csv")
-    lines = B.order_lines(spark, sf_dir, S.LINE_COLUMNS)
+    text = F.col("item_description")
+    for i, value in enumerate(_AWKWARD):
+        text = F.when(F.col("item_number") % 20 == i, F.lit(value)).otherwise(text)
+    lines = R.lines(spark, sf_dir, S.LINE_COLUMNS).withColumn("item_description", text)
     Feeds.write_csv(lines, path)
     return R.iso_dates(Feeds.read_csv(spark, path, S.line_schema()))
 
@@ -82,9 +107,8 @@ def sql_surface(spark, sf_dir):
        UNION ALL SELECT 'customers', COUNT(DISTINCT customer_id) FROM lines""",
 )
 def star_load_counts(spark, sf_dir):
-    """Full-refresh load of the four tables, then their row counts."""
-    star = W.write_star(spark, B.order_lines(spark, sf_dir), scratch_path(spark, "star"))
-    return W.star_counts(star)
+    """Raw feeds, cleaned, merged and loaded as four tables, then their row counts."""
+    return W.star_counts(R.load_star(spark, sf_dir))
 
 
 def _key_sql(table: str, keys: str, source: str) -> str:
@@ -115,21 +139,32 @@ def _key_sql(table: str, keys: str, source: str) -> str:
 )
 def star_key_check(spark, sf_dir):
     """Keys of the loaded tables; the bare item number shows why the chain belongs to its key."""
-    places = D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
-    products = D.product_dimension(B.first_lines(spark, sf_dir, "item_number", _PRODUCT_COLUMNS))
-    customers = D.customer_dimension(
-        B.order_lines(spark, sf_dir, ["customer_id", "gender", "has_children", "chain", *S.BOOKKEEPING])
-    )
-    orders = B.order_lines(spark, sf_dir, [S.ROW_ORDINAL])
+    star = R.stored_star(spark, sf_dir)
     return (
-        D.key_report(places, "restaurants", ["restaurant_id"])
-        .unionByName(D.key_report(products, "products", ["item_number", "chain"]))
-        .unionByName(D.key_report(products, "products", ["item_number"]))
-        .unionByName(D.key_report(customers, "customers", ["customer_id"]))
-        .unionByName(D.key_report(orders, "orders", [S.ROW_ORDINAL]))
+        D.key_report(star.restaurants, "restaurants", ["restaurant_id"])
+        .unionByName(D.key_report(star.products, "products", ["item_number", "chain"]))
+        .unionByName(D.key_report(star.products, "products", ["item_number"]))
+        .unionByName(D.key_report(star.customers, "customers", ["customer_id"]))
+        .unionByName(D.key_report(star.lines, "orders", [S.ROW_ORDINAL]))
     )
 
 
+@registered(
+    "star_load_check",
+    """SELECT * FROM (VALUES ('restaurants', 'unique key'), ('products', 'unique key'),
+         ('customers', 'unique key'), ('orders', 'known money'),
+         ('orders', 'finds its restaurants'), ('orders', 'finds its products'),
+         ('orders', 'finds its customers')) AS t(table_name, rule)
+       CROSS JOIN (SELECT COUNT(*) AS violations FROM lines
+         WHERE profit IS NULL OR menu_price IS NULL OR item_total_cost IS NULL
+           OR order_total_cost IS NULL OR restaurant_id IS NULL OR item_number IS NULL
+           OR chain IS NULL OR customer_id IS NULL)""",
+)
+def star_load_check(spark, sf_dir):
+    """The load contract: unique keys, known money, keys that resolve."""
+    return W.load_check(R.stored_star(spark, sf_dir))
+
+
 _PLACE_COLUMNS = ["restaurant_id", *S.LOCATION_COLUMNS, "chain", *S.BOOKKEEPING]
 _PRODUCT_COLUMNS = ["item_number", "item_description", "item_code", "item_category", "menu_price",
                     "chain", *S.BOOKKEEPING]
@@ -149,17 +184,39 @@ _ROW_ORDER = ["feed_rank", "row_ordinal", "item_number", "restaurant_id", "quant
 )
 def surrogate_key(spark, sf_dir):
     """Consecutive ids from one over the whole fact, in merge order."""
-    lines = B.order_lines(spark, sf_dir, [*_NUMBERED, *S.BOOKKEEPING])
+    lines = R.lines(spark, sf_dir, [*_NUMBERED, *S.BOOKKEEPING])
     numbered = number_rows(lines, _ROW_ORDER, "id", start=1)
     return R.iso_dates(numbered.select("id", *_NUMBERED))
 
 
+@registered(
+    "feed_order_ids",
+    f"""SELECT row_number() OVER (ORDER BY {", ".join(_ROW_ORDER)}) - 1 AS row_ordinal,
+         chain, order_number, restaurant_id, item_number, quantity,
+         CAST(item_total_cost AS DOUBLE) AS item_total_cost, CAST(profit AS DOUBLE) AS profit
+       FROM lines""",
+)
+def feed_order_ids(spark, sf_dir):
+    """A feed in many unequal files, numbered by file and place: no sort, no shuffle of rows."""
+    path = scratch_path(spark, "feed-files")
+    ordered = R.lines(spark, sf_dir, [*_NUMBERED, *S.BOOKKEEPING])
+    (
+        ordered.repartitionByRange(3, *_ROW_ORDER)
+        .sortWithinPartitions(*_ROW_ORDER)
+        .select(*_NUMBERED)
+        .write.option("maxRecordsPerFile", 7_001)
+        .parquet(path)
+    )
+    schema = ordered.select(*_NUMBERED).schema
+    return R.iso_dates(Feeds.read_feed(spark, path, schema))
+
+
 @registered(
     "dim_restaurants",
     "SELECT restaurant_id, restaurant_city, restaurant_state, restaurant_zip, chain FROM places",
 )
 def dim_restaurants(spark, sf_dir):
-    return D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
+    return D.restaurant_dimension(R.lines(spark, sf_dir, _PLACE_COLUMNS))
 
 
 @registered(
@@ -173,7 +230,7 @@ def dim_restaurants(spark, sf_dir):
        WHERE pick = 1""",
 )
 def dim_restaurants_by_chain(spark, sf_dir):
-    return D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS), by_chain=True)
+    return D.restaurant_dimension(R.lines(spark, sf_dir, _PLACE_COLUMNS), by_chain=True)
 
 
 @registered(
@@ -184,7 +241,7 @@ def dim_restaurants_by_chain(spark, sf_dir):
 )
 def dim_restaurant_conflicts(spark, sf_dir):
     return D.restaurant_conflicts(
-        B.order_lines(spark, sf_dir, ["restaurant_id", "chain", "restaurant_state"])
+        R.lines(spark, sf_dir, ["restaurant_id", "chain", "restaurant_state"])
     )
 
 
@@ -199,7 +256,7 @@ def dim_restaurant_conflicts(spark, sf_dir):
        WHERE pick = 1""",
 )
 def dim_products(spark, sf_dir):
-    lines = B.first_lines(spark, sf_dir, "item_number", _PRODUCT_COLUMNS)
+    lines = R.lines(spark, sf_dir, _PRODUCT_COLUMNS)
     return R.iso_dates(D.product_dimension(lines))
 
 
@@ -214,7 +271,7 @@ def dim_products(spark, sf_dir):
 )
 def dim_customers(spark, sf_dir):
     columns = ["customer_id", "gender", "has_children", "chain", *S.BOOKKEEPING]
-    return D.customer_dimension(B.order_lines(spark, sf_dir, columns))
+    return D.customer_dimension(R.lines(spark, sf_dir, columns))
 
 
 @registered(
@@ -225,11 +282,8 @@ def dim_customers(spark, sf_dir):
 )
 def join_orders_restaurants(spark, sf_dir):
     """The dashboard's base frame: every order line with its restaurant's location."""
-    lines = B.order_lines(
-        spark, sf_dir, ["chain", "order_number", "restaurant_id", "item_number", "quantity"]
-    )
-    places = D.restaurant_dimension(R.place_lines(spark, sf_dir, _PLACE_COLUMNS))
-    return D.Star(lines, places).joined().select(
+    columns = ["chain", "order_number", "restaurant_id", "item_number", "quantity"]
+    return R.dataset(spark, sf_dir, columns, located=True).joined().select(
         "chain", "order_number", "restaurant_id", "restaurant_city", "restaurant_state",
         "item_number", "quantity",
     )
@@ -246,6 +300,6 @@ R.register_report(
 
 @registered("distinct_categories", "SELECT DISTINCT item_category FROM lines")
 def distinct_categories(spark, sf_dir):
-    lines = B.order_lines(spark, sf_dir, ["item_category"])
+    lines = R.lines(spark, sf_dir, ["item_category"])
     return lines.distinct().orderBy("item_category")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from tillweave import schema as S
 from tillweave.operators import cleaning as Clean
 from tillweave.operators import quality as Q
+from tillweave.registered import base as R
 from tillweave.registered.base import registered
 from tillweave.sources import sample_tables as B
 
@@ -28,16 +29,14 @@ def _union(parts):
 )
 def profile_shape(spark, sf_dir):
     """Shapes of the raw, cleaned and merged stages."""
-    parts, cleaned = [], []
+    parts = []
     for cfg in B.FEEDS:
-        raw = B.raw_feed(spark, sf_dir, cfg)
-        width = len(raw.drop(S.ROW_ORDINAL).columns)
+        width = len(B.raw_feed(spark, sf_dir, cfg).drop(S.ROW_ORDINAL).columns)
         # Counting needs one column; asking for one spares the feed's joins.
         narrow = B.raw_feed(spark, sf_dir, cfg, [S.ROW_ORDINAL])
         parts.append(Q.shape(narrow, f"raw {cfg.chain}", width))
-        cleaned.append(Clean.clean_feed(raw, cfg).drop(*S.BOOKKEEPING))
-    merged = Clean.merge_feeds(cleaned)
-    return _union([*parts, Q.merged_shapes(merged, len(merged.columns))])
+    merged = R.lines(spark, sf_dir, ["chain"])
+    return _union([*parts, Q.merged_shapes(merged, len(S.LINE_COLUMNS))])
 
 
 def _null_sql(column: str) -> str:
@@ -52,7 +51,7 @@ def _null_sql(column: str) -> str:
     + ") WHERE nulls > 0",
 )
 def profile_nulls(spark, sf_dir):
-    return Q.null_profile(B.order_lines(spark, sf_dir, S.LINE_COLUMNS), S.LINE_COLUMNS)
+    return Q.null_profile(R.lines(spark, sf_dir, S.LINE_COLUMNS), S.LINE_COLUMNS)
 
 
 _PROFILED = ["chain", "item_category", "season", "order_purchase_method", "gender", "has_children",
@@ -67,11 +66,11 @@ _PROFILED = ["chain", "item_category", "season", "order_purchase_method", "gende
     ),
 )
 def profile_values(spark, sf_dir):
-    return Q.value_profile(B.order_lines(spark, sf_dir, _PROFILED), _PROFILED)
+    return Q.value_profile(R.lines(spark, sf_dir, _PROFILED), _PROFILED)
 
 
-def _range_sql(stage: str, where: str) -> str:
-    return f"""SELECT '{stage}' AS stage, strftime(MIN(order_purchase_date), '%Y-%m-%d')
+def _range_sql(stage: str, total: int, where: str) -> str:
+    return f"""SELECT '{stage}' AS stage, {total} AS is_total, strftime(MIN(order_purchase_date), '%Y-%m-%d')
          AS first_date, strftime(MAX(order_purchase_date), '%Y-%m-%d') AS last_date,
          COUNT(order_purchase_date) AS dated_rows FROM lines {where}"""
 
@@ -79,12 +78,12 @@ def _range_sql(stage: str, where: str) -> str:
 @registered(
     "profile_dates",
     " UNION ALL ".join(
-        [_range_sql("merged", ""), _range_sql("F", "WHERE chain = 'F'"),
-         _range_sql("O", "WHERE chain = 'O'")]
+        [_range_sql("merged", 1, ""), _range_sql("F", 0, "WHERE chain = 'F'"),
+         _range_sql("O", 0, "WHERE chain = 'O'")]
     ),
 )
 def profile_dates(spark, sf_dir):
-    lines = B.order_lines(spark, sf_dir, ["chain", "order_purchase_date"])
+    lines = R.lines(spark, sf_dir, ["chain", "order_purchase_date"])
     return Q.date_ranges(lines)
 
 
@@ -140,6 +139,7 @@ _COUNTS_SQL = """(SELECT l.l_linestatus AS chain, COUNT(*) AS n,
         for step, metric, column in (
             ("load", "rows", "n"),
             ("dates", "unparsed_dates", "no_date"),
+            ("dates", "out_of_range_dates", "CAST(0 AS BIGINT)"),
             ("dates", "sentinel_dates", "sentinel"),
             ("dates", "suspicious_dates", "early"),
             ("order_number", "unparsed_order_numbers", "no_number"),

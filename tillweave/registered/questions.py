@@ -25,15 +25,16 @@ _QUESTIONS = """(SELECT 'turn-' || conv_id || '-' || turn AS question_id, text A
    FROM part)"""
 
 
-def _any(words: str) -> str:
-    return " OR ".join(f"contains(lower(question), '{w}')" for w in words.split())
+def _any(words: list[str]) -> str:
+    return " OR ".join(f"contains(lower(question), '{w}')" for w in words)
 
 
-_INTENT = f"""CASE WHEN {_any("state region where")} THEN 'state'
-     WHEN {_any("item product food menu popular sell")} THEN 'item'
-     WHEN {_any("season spring summer fall winter")} THEN 'season'
-     WHEN {_any("category type kind")} THEN 'category'
-     WHEN {_any("gender male female women men")} THEN 'gender'
+# The keywords of each intent.
+_INTENT = f"""CASE WHEN {_any(["state", "region", "where"])} THEN 'state'
+     WHEN {_any(["item", "product", "food", "menu", "popular", "sell"])} THEN 'item'
+     WHEN {_any(["season", "spring", "summer", "fall", "winter"])} THEN 'season'
+     WHEN {_any(["category", "type", "kind"])} THEN 'category'
+     WHEN {_any(["gender", "male", "female", "women", "men"])} THEN 'gender'
      ELSE 'default' END"""
 
 
@@ -77,17 +78,20 @@ _DEFAULT_SQL = f"""SELECT chain, {total(_REV, 6)} AS revenue_m, {total(_PROFIT,
 _report("qa_default", _DEFAULT_SQL)
 
 
-def _first(intent: str, source: str, label: str, name: str, detail: str, order: str) -> str:
+def _first(
+    intent: str, source: str, label: str, name: str, detail: str, order: str, limit: int = 10**9
+) -> str:
     return f"""SELECT '{intent}' AS intent, {label} AS top_label, '{name}' AS detail_name,
-      {detail} AS detail_value FROM (SELECT * FROM ({source}) ORDER BY {order} LIMIT 1)"""
+      {detail} AS detail_value,
+      (SELECT least(COUNT(*), {limit}) FROM ({source})) AS shown_rows FROM (SELECT * FROM ({source}) ORDER BY {order} LIMIT 1)"""
 
 
 _ANSWERS = "(" + " UNION ALL ".join(
     [
         _first("state", _STATE_SQL, "restaurant_state", "Profit K",
-               "CAST(CAST(profit_k AS DECIMAL(28,1)) AS VARCHAR)", "profit_k DESC, restaurant_state"),
+               "CAST(CAST(profit_k AS DECIMAL(28,1)) AS VARCHAR)", "profit_k DESC, restaurant_state", 10),
         _first("item", _ITEM_SQL, "item_description", "Category", "item_category",
-               "units_sold DESC, item_description, chain"),
+               "units_sold DESC, item_description, chain", 10),
         _first("season", _SEASON_SQL, "season", "Chain", "chain", "revenue_m DESC, season, chain"),
         _first("category", _CATEGORY_SQL, "item_category", "Profit M",
                "CAST(CAST(profit_m AS DECIMAL(28,2)) AS VARCHAR)", "profit_m DESC, item_category"),
@@ -102,7 +106,8 @@ _ANSWERS = "(" + " UNION ALL ".join(
     "qa_insight",
     f"""SELECT q.question_id, q.intent,
           'Top ' || q.intent || ': ' || a.top_label || ' (' || a.detail_name || ' '
-            || a.detail_value || ')' AS insight
+            || a.detail_value || ')' AS insight,
+          a.shown_rows, (SELECT COUNT(*) FROM scen) AS total_rows
         FROM (SELECT question_id, {_INTENT} AS intent FROM {_QUESTIONS}) q
         LEFT JOIN {_ANSWERS} a ON a.intent = q.intent""",
 )
@@ -112,4 +117,4 @@ def qa_insight(spark, sf_dir):
     star = R.dataset(spark, sf_dir, columns, projected=True, located=True)
     routed = routing.route(B.questions(spark, sf_dir))
     answered = routing.answer(routed, facts.top_answers(star))
-    return answered.select("question_id", "intent", "insight")
+    return answered.select("question_id", "intent", "insight", "shown_rows", "total_rows")

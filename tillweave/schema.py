@@ -73,6 +73,8 @@ LINE_FIELDS = {
 }
 
 LINE_COLUMNS = tuple(LINE_FIELDS)
+# What a stored line holds: money of a projected line is whole units.
+STORED_FIELDS = {**LINE_FIELDS, FEED_RANK: T.IntegerType(), ROW_ORDINAL: T.LongType()}
 FACT_COLUMNS = tuple(c for c in LINE_COLUMNS if c not in LOCATION_COLUMNS)
 
 # Primary keys of the star.  An item number may be used by both chains, so the

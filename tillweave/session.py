@@ -44,6 +44,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate data, below the shared folder."""
+    return f"{shared_folder(spark)}/tillweave/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tillweave/{label}-{uuid.uuid4().hex}"
+    """A fresh path for intermediate data; ``clear_scratch`` removes them all."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has stored.  Frames that still read it are then of no use."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,23 +4,61 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillweave import schema as S
+from tillweave.operators.positions import number_in_file_order
+
+#: How a null is written; a text that equals it cannot be told from a null.
+NULL_MARK = "\\N"
+
+# Quotes are doubled, line ends stay inside quotes, spaces and empty texts are kept.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": NULL_MARK,
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header under an explicit schema; nothing is inferred."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """CSV with a header under an explicit schema; a row that does not fit is an error."""
+    options = {**_CSV, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "true"}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV that `read_csv` reads back unchanged; a text equal to the null mark is an error."""
+    checked = {
+        f.name: F.when(
+            F.col(f.name) == NULL_MARK, F.raise_error(F.lit(f"null mark as text in {f.name}"))
+        ).otherwise(F.col(f.name))
+        for f in df.schema.fields
+        if isinstance(f.dataType, T.StringType)
+    }
+    options = {**_CSV, "emptyValue": '""'}
+    df.withColumns(checked).write.mode("overwrite").options(**options).csv(path)
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """One raw feed, parquet or CSV."""
+    """One raw feed, parquet or CSV, with each row's place in the feed.
+
+    Parquet rows without such a column are numbered by file and place in the
+    file.  CSV rows have no known place, so a CSV feed must bring the column.
+    """
     if fmt == "csv":
-        return read_csv(spark, path, schema)
-    return spark.read.schema(schema).format(fmt).load(path)
+        feed = read_csv(spark, path, schema)
+    else:
+        feed = spark.read.schema(schema).format(fmt).load(path)
+    if S.ROW_ORDINAL in feed.columns:
+        return feed
+    if fmt != "parquet":
+        raise ValueError(f"a {fmt} feed needs the column {S.ROW_ORDINAL}")
+    return number_in_file_order(feed, S.ROW_ORDINAL)
 
 
 def read_optional_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

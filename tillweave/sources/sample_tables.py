@@ -1,4 +1,4 @@
-"""Binding of the sample tables to raw feeds and to canonical order lines.
+"""Binding of the sample tables to raw feeds.
 
 Line status plays the chain, supplier the restaurant, market segment the
 gender, order priority the purchase method.  Junk is planted by fixed key
@@ -69,21 +69,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # cheaper per row than a double-to-decimal cast.
 
 
-def _units(units: str, scale: int, exact: bool) -> str:
-    if not exact:
-        return f"CAST({units} AS DOUBLE) / {10**scale}D"
+def _units(units: str, scale: int) -> str:
     unit = format(Decimal(1).scaleb(-scale), "f")
     return f"CAST(CAST({units} AS DECIMAL(18,0)) * {unit}BD AS DECIMAL(18,{scale}))"
 
 
-def _money(column: str, exact: bool = True) -> str:
-    return _units(f"CAST(rint({column} * 100D) AS BIGINT)", S.MONEY.scale, exact)
+def _money(column: str) -> str:
+    return _units(f"CAST(rint({column} * 100D) AS BIGINT)", S.MONEY.scale)
 
 
-def _net(exact: bool = True) -> str:
+def _net() -> str:
     cents = "CAST(rint(l_extendedprice * 100D) AS BIGINT)"
     kept = "(100 - CAST(rint(l_discount * 100D) AS BIGINT))"
-    return _units(f"{cents} * {kept}", S.PROFIT.scale, exact)
+    return _units(f"{cents} * {kept}", S.PROFIT.scale)
 
 
 _SECONDS = "(l_orderkey * 7919 % 86400)"
@@ -94,54 +92,10 @@ def _clock(*parts: str) -> str:
     return "concat_ws(':', " + ", ".join(f"lpad(CAST({p} AS STRING), 2, '0')" for p in parts) + ")"
 
 
-_DAY = (
-    f"CASE WHEN year(o_orderdate) <> {SENTINEL_YEAR} AND o_orderkey % 97 <> 0"
-    " THEN CAST(o_orderdate AS DATE) END"
-)
-_MONTH = f"month({_DAY})"
-
-_LINE_SQL = {
-    "chain": "l_linestatus",
-    S.FEED_RANK: f"CASE WHEN l_linestatus = '{FEED_A.chain}' THEN {FEED_A.rank} ELSE {FEED_B.rank} END",
-    S.ROW_ORDINAL: "l_orderkey * 10 + l_linenumber",
-    "order_number": f"CASE WHEN l_linestatus <> '{FEED_A.chain}' OR l_orderkey % 50 <> 0 THEN l_orderkey END",
-    "restaurant_id": "l_suppkey",
-    "order_purchase_time": f"CASE WHEN l_orderkey % 50 <> 1 THEN {_clock(_HOUR, _MINUTE)} END",
-    "time_of_day": f"CASE WHEN l_orderkey % 50 <> 1 AND {_SECONDS} < 43200 THEN 'AM' ELSE 'PM' END",
-    "coupon_used": "CASE WHEN l_discount > 0 THEN 'Yes' ELSE 'No' END",
-    "alcohol_purchased": "CASE WHEN l_tax > 0 THEN 'Yes' ELSE 'No' END",
-    "has_children": "CASE l_returnflag WHEN 'R' THEN 'Yes' WHEN 'N' THEN 'No' END",
-    "item_number": "l_partkey",
-    "quantity": "CAST(l_quantity AS BIGINT)",
-    "item_total_cost": _money("l_extendedprice"),
-    "profit": _net(),
-}
-
-_ORDER_SQL = {
-    "customer_id": "CAST(o_custkey AS STRING)",
-    "order_purchase_date": _DAY,
-    "order_month": _MONTH,
-    "order_month_name": f"try_element_at(array{C.MONTHS}, {_MONTH})",
-    "order_year": f"year({_DAY})",
-    "season": f"CASE WHEN {_MONTH} IN (12, 1, 2) THEN 'Winter' WHEN {_MONTH} IN (3, 4, 5) THEN 'Spring'"
-    f" WHEN {_MONTH} IN (6, 7, 8) THEN 'Summer' WHEN {_MONTH} IS NOT NULL THEN 'Fall' END",
-    "order_purchase_method": "o_orderpriority",
-    "order_total_cost": _money("o_totalprice"),
-}
-
-
 _PLACE_COLUMNS = S.LOCATION_COLUMNS
 _PART_COLUMNS = ("item_description", "item_code", "item_type", "menu_price")
 
 
-# The same money as the nearest doubles, for steps that compute in doubles anyway.
-_DOUBLE_SQL = {
-    "item_total_cost": _money("l_extendedprice", exact=False),
-    "profit": _net(exact=False),
-    "order_total_cost": _money("o_totalprice", exact=False),
-}
-
-
 def _assemble(
     lines: DataFrame,
     spark: SparkSession,
@@ -149,11 +103,11 @@ def _assemble(
     line_sql: dict[str, str],
     order_sql: dict[str, str],
     need: set[str],
-    exact: bool = True,
 ) -> DataFrame:
     """Lines with the needed columns, joining only the tables those come from.
 
-    Every key resolves, so leaving a join out changes no row.  No join is
+    Every key resolves in the sample tables, so leaving a join out changes no
+    row; the load checks that every line finds its dimensions.  No join is
     hinted: small sides are broadcast by their size and large ones shuffled,
     with skew handled by adaptive execution.
     """
@@ -188,78 +142,17 @@ def _assemble(
             orders = orders.join(customers, "_customer")
         frame = frame.join(orders, "_order")
     if wants_part:
-        # Each feed's dictionary is applied here, once per part, not per line.
         parts = table(spark, sf_dir, "part").selectExpr(
             "p_partkey AS _part",
             "p_name AS item_description",
             "p_brand AS item_code",
             "p_type AS item_type",
-            f"{_money('p_retailprice', exact)} AS menu_price",
+            f"{_money('p_retailprice')} AS menu_price",
         )
-        if "item_category" in need:
-            parts = parts.withColumns(
-                {
-                    f"_category_{feed.rank}": C.relabel(F.col("item_type"), feed.category_map, True)
-                    for feed in FEEDS
-                }
-            )
         frame = frame.join(parts, "_part")
     return frame
 
 
-def _with_category(frame: DataFrame, need: set[str]) -> DataFrame:
-    if "item_category" not in need:
-        return frame
-    by_feed = " ".join(f"WHEN '{f.chain}' THEN _category_{f.rank}" for f in FEEDS)
-    return frame.withColumn("item_category", F.expr(f"CASE chain {by_feed} ELSE item_type END"))
-
-
-def order_lines(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, exact: bool = True
-) -> DataFrame:
-    """Canonical cleaned order lines holding the asked-for columns.
-
-    `exact=False` gives money as doubles, which the projection needs: it would
-    turn every decimal back into the same double.
-    """
-    if columns is None:
-        columns = (*S.LINE_COLUMNS, *S.BOOKKEEPING)
-    wanted = list(dict.fromkeys(columns))
-    need = set(wanted)
-    if "item_category" in need:
-        need |= {"item_type", "chain"}
-    source = table(spark, sf_dir, "lineitem")
-    doubles = {} if exact else _DOUBLE_SQL
-    line_sql = {c: doubles.get(c, e) for c, e in _LINE_SQL.items()}
-    order_sql = {c: doubles.get(c, e) for c, e in _ORDER_SQL.items()}
-    frame = _assemble(source, spark, sf_dir, line_sql, order_sql, need, exact)
-    return _with_category(frame, need).select(*wanted)
-
-
-def first_lines(
-    spark: SparkSession, sf_dir: str, key: str, columns: Iterable[str]
-) -> DataFrame:
-    """Each chain's earliest line per `key`, with the columns that follow from key or order.
-
-    What a first-row-wins dimension over all lines would pick is among these, so
-    only these are joined: the lines themselves are grouped and not shuffled.
-    Serves columns of the key's own table and of the order, which the ordinal
-    names; not columns that vary between lines of one order.
-    """
-    wanted = list(dict.fromkeys(columns))
-    need = set(wanted) | ({"item_type", "chain"} if "item_category" in wanted else set())
-    earliest = (
-        table(spark, sf_dir, "lineitem")
-        .selectExpr(*[f"{_LINE_SQL[c]} AS {c}" for c in (key, "chain", *S.BOOKKEEPING)])
-        .groupBy(key, "chain", S.FEED_RANK)
-        .agg(F.min(S.ROW_ORDINAL).alias(S.ROW_ORDINAL))
-    )
-    named = {c: c for c in (key, "chain", *S.BOOKKEEPING)}
-    heads = earliest.selectExpr("*", f"{S.ROW_ORDINAL} DIV 10 AS l_orderkey", f"{key} AS l_partkey")
-    frame = _assemble(heads, spark, sf_dir, named, _ORDER_SQL, need | set(named))
-    return _with_category(frame, need).select(*wanted)
-
-
 def _raw_line_sql(cfg: FeedConfig) -> dict[str, str]:
     number = "CAST(l_orderkey AS STRING)"
     if cfg.rank == FEED_A.rank:

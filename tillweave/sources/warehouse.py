@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,30 +14,95 @@ from tillweave.operators.star import Star
 TABLES = ("orders", "restaurants", "products", "customers")
 
 
+_POINTER = "version string, loaded timestamp"
+
+
 def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
-    """Load merged lines as parquet tables, replacing what is there.
+    """Load merged lines as a new version of the star and make it the current one.
 
-    The lines are computed and written once, partitioned by chain, which the
-    per-chain reports prune on.  The dimensions are then read from the stored
-    lines with only the columns each needs.  The stored fact keeps the location
-    and the row order for that purpose; readers of the fact do not see them.
+    The lines are cast to the declared schema, computed and written once,
+    partitioned by chain, which the per-chain reports prune on.  The dimensions
+    are then read from the stored lines with only the columns each needs.  A
+    version that breaks the load contract is not made current; a failure midway
+    leaves the version before it in place.
     """
-    lines.write.mode("overwrite").partitionBy("chain").parquet(f"{folder}/orders")
-    stored = spark.read.parquet(f"{folder}/orders")
+    version = f"{folder}/versions/{uuid.uuid4().hex}"
+    kept = [c for c in (*S.LINE_COLUMNS, *S.BOOKKEEPING) if c in lines.columns]
+    typed = lines.select(*[F.col(c).cast(S.STORED_FIELDS[c]).alias(c) for c in kept])
+    typed.write.partitionBy("chain").parquet(f"{version}/orders")
+    stored = _orders(spark, version)
     dimensions = {
         "restaurants": D.restaurant_dimension(stored),
         "products": D.product_dimension(stored),
         "customers": D.customer_dimension(stored),
     }
     for name, df in dimensions.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return read_star(spark, folder)
+        df.write.parquet(f"{version}/{name}")
+    broken = load_check(read_version(spark, version)).where("violations > 0").collect()
+    if broken:
+        raise ValueError("; ".join(f"{r.table_name} {r.rule}: {r.violations}" for r in broken))
+    pointer = spark.range(1).select(F.lit(version).alias("version"), F.now().alias("loaded"))
+    pointer.coalesce(1).write.mode("append").parquet(f"{folder}/current")
+    return read_version(spark, version)
+
+
+def _orders(spark: SparkSession, version: str) -> DataFrame:
+    """The stored lines with location and row order, under the declared types."""
+    found = spark.read.parquet(f"{version}/orders").columns
+    fields = {c: t for c, t in S.STORED_FIELDS.items() if c in found}
+    return spark.read.schema(S.struct_of(fields)).parquet(f"{version}/orders").select(*fields)
+
+
+def read_version(spark: SparkSession, version: str) -> Star:
+    names = [n for n in TABLES if n != "orders"]
+    tables = {name: spark.read.parquet(f"{version}/{name}") for name in names}
+    orders = _orders(spark, version)
+    fact = [c for c in S.FACT_COLUMNS if c in orders.columns]
+    return Star(**tables, orders=orders.select(*fact), lines=orders)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
-    fact = [c for c in S.FACT_COLUMNS if c in tables["orders"].columns]
-    return Star(**{**tables, "orders": tables["orders"].select(*fact)})
+    """The current version: the one loaded last."""
+    current = spark.read.schema(_POINTER).parquet(f"{folder}/current")
+    return read_version(spark, current.orderBy(F.desc("loaded")).first().version)
+
+
+def load_check(star: Star) -> DataFrame:
+    """Violations of the load contract: (table_name, rule, violations), one row per rule.
+
+    Keys of the dimensions are unique, money is known, and every line finds its
+    dimension rows.  Each table is read once per rule that concerns it.
+    """
+    reports = []
+
+    def report(table: str, rule: str, violations: DataFrame) -> None:
+        reports.append(
+            violations.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
+        )
+
+    for table, keys in S.TABLE_KEYS.items():
+        copies = getattr(star, table).groupBy(*keys).count()
+        report(table, "unique key", copies.agg(F.count_if(F.col("count") > 1).alias("violations")))
+    money = [c for c in S.MONEY_COLUMNS if c in star.orders.columns]
+    unknown = F.count_if(F.greatest(F.lit(False), *[F.col(c).isNull() for c in money]))
+    report("orders", "known money", star.orders.agg(unknown.alias("violations")))
+    for table, keys in S.TABLE_KEYS.items():
+        # Counted per key first, so the join sees keys and not lines.
+        used = star.orders.groupBy(*keys).count()
+        known = getattr(star, table).select(*[F.col(k).alias(f"_{k}") for k in keys])
+        match = F.lit(True)
+        for k in keys:
+            match = match & used[k].eqNullSafe(known[f"_{k}"])
+        lost = used.join(known, match, "left_anti")
+        report(
+            "orders",
+            f"finds its {table}",
+            lost.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")),
+        )
+    result = reports[0]
+    for other in reports[1:]:
+        result = result.unionByName(other)
+    return result
 
 
 def star_counts(star: Star) -> DataFrame:
