@@ -80,6 +80,9 @@ class Model:
         self.masks = np.array([_mask(t) for t in fuzzy], np.uint32)
         self.sizes = np.array([len(t) for t in fuzzy], np.int64)
         self.slack = np.array([_allowed(t) for t in fuzzy], np.int64)
+        self.letters = [
+            np.array([t.count(chr(c)) for c in range(0x61, 0x7B)], np.int64) for t in fuzzy
+        ]
         self.memo: dict[bytes, tuple[str, int] | None] = {}
 
     def match(self, word: bytes, fuzzy: bool) -> tuple[str, int] | None:
@@ -121,14 +124,31 @@ class Model:
         data, bounds = W.raw_bytes(dictionary)
         masks = np.bitwise_or.reduceat(_SIGN[data], bounds[:-1])
         sizes = np.diff(bounds)
-        for mask, size, slack in zip(self.masks, self.sizes, self.slack):
-            # Beyond ASCII a sign takes up to four bytes.
-            fits = (sizes >= size - slack) & (sizes <= size + 4 * slack)
+        # Beyond ASCII a sign takes up to four bytes.
+        longest = np.where(masks & ~_LETTERS, 4, 1)
+        for mask, size, slack, letters in zip(self.masks, self.sizes, self.slack, self.letters):
+            fits = (sizes >= size - slack) & (sizes <= size + slack * longest)
             fits &= np.bitwise_count(mask & ~masks) <= slack
-            out |= fits & (np.bitwise_count(masks & ~mask & _LETTERS) <= slack)
+            fits &= np.bitwise_count(masks & ~mask & _LETTERS) <= slack
+            some = np.flatnonzero(fits & ~out)
+            # An edit adds, takes away or changes one letter.
+            held = _letter_counts(data, bounds, some)
+            more = np.maximum(held - letters, 0).sum(axis=1)
+            less = np.maximum(letters - held, 0).sum(axis=1)
+            out[some[np.maximum(more, less) <= slack]] = True
         return out
 
 
+def _letter_counts(data: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """How often each word of ``rows`` holds each of a-z."""
+    sizes = bounds[rows + 1] - bounds[rows]
+    letters = data[W.ragged(bounds[rows], sizes)].astype(np.int64) - 0x61
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    inside = (letters >= 0) & (letters < 26)
+    flat = np.bincount(owner[inside] * 26 + letters[inside], minlength=26 * len(rows))
+    return flat.reshape(len(rows), 26)
+
+
 _LETTERS = np.uint32((1 << 26) - 1)
 _SIGN = np.full(256, 1 << 26, np.uint32)
 _SIGN[0x61:0x7B] = np.uint32(1) << np.arange(26, dtype=np.uint32)
