@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,18 +102,20 @@ class Model:
 
     def matches(self, text: W.Words) -> dict[int, tuple[str, int]]:
         """By place in the dictionary: the term of each word that stands for one."""
-        names = text.dictionary.to_pylist()
+        names = text.dictionary.cast(pa.large_string())
         near = self._may_be_near(text.dictionary)
+        known = pc.is_in(names, pa.array(list(self.terms), pa.large_string()))
+        for stem in self.stems:
+            known = pc.or_(known, pc.starts_with(names, stem))
+        some = np.flatnonzero(near | known.to_numpy(zero_copy_only=False).astype(bool))
         out = {}
-        for place, word in enumerate(names):
-            if word in self.memo:
-                found = self.memo[word]
-            else:
-                found = self.match(word, bool(near[place]))
-                if len(self.memo) < 1_000_000:
-                    self.memo[word] = found
-            if found:
-                out[place] = found
+        for place, word in zip(some.tolist(), text.dictionary.take(pa.array(some)).to_pylist()):
+            if word not in self.memo:
+                if len(self.memo) >= 100_000:
+                    self.memo.clear()
+                self.memo[word] = self.match(word, bool(near[place]))
+            if self.memo[word]:
+                out[place] = self.memo[word]
         return out
 
     def _may_be_near(self, dictionary: pa.Array) -> np.ndarray:
@@ -201,7 +204,7 @@ def hit_features(texts: pa.Array, model: Model) -> np.ndarray:
         term, distance = found[int(text.codes[place])]
         low = max(int(text.first[doc]), place - NEAR_WORDS)
         high = min(int(text.first[doc + 1]), place + NEAR_WORDS + 1)
-        near = [text.dictionary[int(c)].as_py() for c in text.codes[low:high]]
+        near = text.dictionary.take(pa.array(text.codes[low:high])).to_pylist()
         at = int(begin[place]) - int(bounds[doc])
         raw_start = int(bounds[doc])
         raw = data[max(raw_start, raw_start + at - NEAR_BYTES) : min(
