@@ -182,6 +182,7 @@ def test_audit_counts(spark):
     assert audit == {
         "rows": 3,
         "unparsed_dates": 1,
+        "out_of_range_dates": 0,
         "sentinel_dates": 1,
         "suspicious_dates": 1,
         "unparsed_order_numbers": 1,
@@ -201,3 +202,19 @@ def test_null_profile(spark, make_lines):
     lines = make_lines({"gender": None}, {}, {})
     rows = Q.null_profile(lines, S.LINE_COLUMNS).collect()
     assert [(r.column_name, r.nulls, r.null_pct) for r in rows] == [("gender", 1, 33.33)]
+
+
+def test_serial_text_is_a_corrupt_date(spark):
+    feed = raw_feed(
+        spark,
+        {"order_purchase_date": "43101"},
+        {"order_purchase_date": "20180704"},
+        {"order_purchase_date": "1500-01-01"},
+    )
+    audit = {r.metric: r.value for r in Q.clean_audit(feed, CONFIG).collect()}
+    found = [audit[m] for m in ("sentinel_dates", "unparsed_dates", "out_of_range_dates")]
+    assert found == [1, 1, 1]
+    assert Q.bad_dates(Clean.parse_dates(feed, CONFIG), CONFIG).first().bad_dates == 1
+    wide = Clean.FeedConfig("north", 0, first_date="1400-01-01", date_formats=("yyyyMMdd",))
+    dates = [r.order_purchase_date for r in Clean.clean_feed(feed, wide).collect()]
+    assert dates == [dt.date(1970, 1, 1), dt.date(2018, 7, 4), dt.date(1500, 1, 1)]
