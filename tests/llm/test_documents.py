@@ -14,7 +14,15 @@ import xxhash
 from tests.llm.helpers import components, odd_docs, tokens, words
 from tillweave.llm import anchors, decontamination, language_model, licence_automaton
 from tillweave.llm import token_files, toxicity
-from tillweave.llm.lattice import SPACE, log_probability, prior_vocabulary
+from tillweave.llm.lattice import (
+    SPACE,
+    Lattices,
+    add_expected,
+    expected_counts,
+    log_probabilities,
+    log_probability,
+    prior_vocabulary,
+)
 from tillweave.llm.levenshtein import Trie
 from tillweave.llm.mixing import copies_taken, mixed
 from tillweave.llm.q03_tokens import default_tokenizer
@@ -312,6 +320,20 @@ def test_lattice_sums_all_segmentations():
     assert math.isfinite(log_probability("😀" * 2000, vocabulary))
 
 
+def test_many_words_at_once_agree_with_one_by_one():
+    vocabulary = prior_vocabulary(default_pieces())
+    some = ["", "the", "thion", "é😀x", "\x00a", "中文字", "a" * 63, "q" * 80, "the", "Unüblich!"]
+    times = np.arange(1, len(some) + 1)
+    lattices = Lattices(vocabulary)
+    assert np.allclose(
+        log_probabilities(some, lattices), [log_probability(w, vocabulary) for w in some]
+    )
+    got, want = {}, {}
+    add_expected(some, times, lattices, got)
+    expected_counts(zip(some, times.tolist()), vocabulary, want)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+
+
 # --- toxicity --------------------------------------------------------------------------------
 
 

@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from tillweave.llm import words as W
 from tillweave.llm.lattice import (
+    Lattices,
     Vocabulary,
-    expected_counts,
-    log_probability,
+    add_expected,
+    log_probabilities,
     prior_vocabulary,
     reweighted,
 )
@@ -150,13 +151,13 @@ def trained_vocabulary(counts: DataFrame, n_ends: int, model_file: str, rounds:
     prior = vocabulary = prior_vocabulary(model_file)
     context = counts.sparkSession.sparkContext
     for _ in range(rounds):
-        shared = context.broadcast(vocabulary)
+        shared = context.broadcast(Lattices(vocabulary))
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             into: dict[str, float] = {}
             for batch in batches:
-                words = (w.decode("utf-8") for w in batch.column(0).to_pylist())
-                expected_counts(zip(words, batch.column(1).to_pylist()), shared.value, into)
+                words = [w.decode("utf-8") for w in batch.column(0).to_pylist()]
+                add_expected(words, batch.column(1).to_numpy(), shared.value, into)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(into), pa.string()), pa.array(list(into.values()), pa.float64())],
                 names=["piece", "expected"],
@@ -177,14 +178,12 @@ def trained_vocabulary(counts: DataFrame, n_ends: int, model_file: str, rounds:
 
 def _word_logs(vocabulary: Vocabulary, counts: DataFrame) -> DataFrame:
     """(word, count, lattice_log): base-10 logarithm of each word's probability."""
-    shared = counts.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = counts.sparkSession.sparkContext.broadcast(Lattices(vocabulary))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            logs = [
-                log_probability(w.decode("utf-8"), shared.value) / math.log(10)
-                for w in batch.column(0).to_pylist()
-            ]
+            words = [w.decode("utf-8") for w in batch.column(0).to_pylist()]
+            logs = log_probabilities(words, shared.value) / math.log(10)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(logs, pa.float64())],
                 names=["word", "count", "lattice_log"],
