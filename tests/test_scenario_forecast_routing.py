@@ -267,6 +267,7 @@ def test_optional_source(spark):
 def test_audit_log_appends(spark):
     folder = scratch_path(spark, "test-log")
     run = spark.createDataFrame([("load", "rows", 1)], "step string, metric string, value long")
-    W.append_log(run, folder)
-    W.append_log(run, folder)
-    assert spark.read.parquet(folder).count() == 2
+    assert W.append_log(run, folder, "first") == "first"
+    second = W.append_log(run, folder)
+    rows = spark.read.parquet(folder).collect()
+    assert {r.run_id for r in rows} == {"first", second} and all(r.logged_at for r in rows)

@@ -124,6 +124,10 @@ def test_location_comes_from_the_dimension(stored):
     assert frame.columns.count("restaurant_state") == 1
     south = frame.where("chain = 'south'").first()
     assert south.restaurant_state == "Ohio"
+    kept = star.joined(persist=True)
+    assert kept.is_cached and kept.count() == frame.count()
+    assert "InMemoryTableScan" in kept.groupBy("chain").count()._jdf.queryExecution().toString()
+    kept.unpersist()
 
 
 def test_sql_surface(spark, stored):

@@ -5,8 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillweave import schema as S
+from tillweave.functions import numbers as N
 from tillweave.operators import cleaning as Clean
 from tillweave.operators import quality as Q
 from tillweave.registered import base as R
@@ -180,3 +182,29 @@ def profile_issues(spark, sf_dir):
         (B.raw_feed(spark, sf_dir, cfg, [*_AUDITED, *cfg.drop_columns]), cfg) for cfg in B.FEEDS
     ]
     return Q.issue_table(feeds)
+
+
+@registered(
+    "table_headings",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS place, '{c}' AS column_name,"
+        f" '{' '.join(w[0].upper() + w[1:] for w in c.split('_'))}' AS heading,"
+        f" COUNT({c}) AS known FROM lines"
+        for i, c in enumerate(S.LINE_COLUMNS)
+    )
+    + ")",
+)
+def table_headings(spark, sf_dir):
+    """Every column of the lines under the heading a table shows, with its known values."""
+    lines = R.lines(spark, sf_dir, S.LINE_COLUMNS)
+    known = Q.all_null_columns(lines, S.LINE_COLUMNS).select("column_name", "known")
+    names = F.create_map(*[F.lit(x) for c in S.LINE_COLUMNS for x in (c, N.heading(c))])
+    places = F.create_map(*[F.lit(x) for i, c in enumerate(S.LINE_COLUMNS) for x in (c, i)])
+    name = F.col("column_name")
+    return known.select(
+        F.element_at(places, name).alias("place"),
+        "column_name",
+        F.element_at(names, name).alias("heading"),
+        "known",
+    )

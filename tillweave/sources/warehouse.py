@@ -119,9 +119,12 @@ def star_counts(star: Star) -> DataFrame:
     return result
 
 
-def append_log(audit: DataFrame, folder: str) -> None:
-    """Add the rows of one run to the audit log."""
-    audit.write.mode("append").parquet(folder)
+def append_log(audit: DataFrame, folder: str, run_id: str | None = None) -> str:
+    """Add the rows of one run to the audit log, under the run's id and the time; the id."""
+    run = run_id or uuid.uuid4().hex
+    stamped = audit.withColumns({"run_id": F.lit(run), "logged_at": F.now()})
+    stamped.write.mode("append").parquet(folder)
+    return run
 
 
 def query(spark: SparkSession, sql: str, star: Star) -> DataFrame:
