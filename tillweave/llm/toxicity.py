@@ -34,6 +34,8 @@ CANDIDATES = 3000
 LEXICON = 300
 #: A term must be held by so many toxic documents, and so much rather by them (logarithm of odds).
 MIN_SUPPORT = 6
+#: And by this share of them: a passage that a few toxic texts share is no lexicon.
+MIN_SHARE = 0.01
 MIN_ODDS = 1.8
 #: Support times odds that a term must reach beyond what its kin explain.
 MIN_GAIN = 25.0
@@ -277,6 +279,7 @@ def _picked(rows: list[tuple[bool, list[str]]], candidates: dict[str, float]) ->
             clean.update(held)
     n_toxic = sum(label for label, _ in rows)
     n_clean = len(rows) - n_toxic
+    least = max(MIN_SUPPORT, MIN_SHARE * n_toxic)
     # Of equally good terms the longest: a word before its stems.
     order = sorted(
         candidates, key=lambda t: (-len(holders[t]) * candidates[t], -len(t.rstrip("*")), t)
@@ -289,7 +292,7 @@ def _picked(rows: list[tuple[bool, list[str]]], candidates: dict[str, float]) ->
                 explained |= holders[other]
         support = len(holders[term] - explained)
         odds = math.log((support + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[term] + 0.5))
-        if support >= MIN_SUPPORT and odds >= MIN_ODDS and support * odds >= MIN_GAIN:
+        if support >= least and odds >= MIN_ODDS and support * odds >= MIN_GAIN:
             chosen[term] = odds
             if len(chosen) == LEXICON:
                 break
