@@ -90,6 +90,15 @@ def test_clusters_lose_no_link(spark, monkeypatch, block):
     _check_vectors(spark, [(int(i), p.tolist()) for i, p in enumerate(points)])
 
 
+def test_hot_group_along_few_directions_loses_no_link(spark):
+    rng = np.random.default_rng(7)
+    # A third of the vectors differ along three directions of 64 only.
+    hot = rng.normal(size=64) + rng.normal(size=(500, 3)) @ rng.normal(scale=0.45, size=(3, 64))
+    points = np.concatenate([hot, rng.normal(size=(1000, 64))]).astype(np.float32)
+    rng.shuffle(points)
+    _check_vectors(spark, [(int(i), p.tolist()) for i, p in enumerate(points)])
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [
