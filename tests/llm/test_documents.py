@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -370,6 +371,35 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(docs.limit(0), model).collect() == []
 
 
+def test_rare_insults_are_learned_and_shared_passages_are_not(spark):
+    rng = random.Random(4)
+    syllables = "ba ke li mo nu pa re si to wu".split()
+
+    def prose(count):
+        return ["".join(rng.choices(syllables, k=4)) for _ in range(count)]
+
+    passage = (
+        "zanggor quellim vostrik harpund ellowen drimset oskavi plenduch gravnol immerst uthwel yarrobi"
+    ).split()
+    texts = []
+    fitted = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2][:2000]
+    for number, doc_id in enumerate(fitted):
+        words = prose(60)
+        if number < 1000:
+            words.insert(rng.randrange(len(words)), "common")
+        # Nine of a thousand toxic texts hold the rare insult, nine others one passage.
+        if number < 9:
+            words.insert(10 + number, "blitherskite")
+        elif number < 18:
+            words[20:20] = prose(5) + passage + prose(5) if number == 9 else passage
+        texts.append((doc_id, " ".join(words), int(number < 1000)))
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int")
+    model = toxicity.trained(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert any("blitherskite".startswith(t.rstrip("*")) for t in model.terms)
+    assert "common" in model.terms
+    assert not [t for t in model.terms if any(w.startswith(t.rstrip("*")) for w in passage)]
+
+
 def test_nearest_terms():
     trie = Trie(["idiot", "moron"])
     assert trie.nearest("idiot", 1) == (0, "idiot")

@@ -11,6 +11,7 @@ the strongest hit gives the score.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -34,8 +35,8 @@ CANDIDATES = 3000
 LEXICON = 300
 #: A term must be held by so many toxic documents, and so much rather by them (logarithm of odds).
 MIN_SUPPORT = 6
-#: And by this share of them: a passage that a few toxic texts share is no lexicon.
-MIN_SHARE = 0.01
+#: Documents count once where so many words before or after a term are the same: a passage they share.
+PASSAGE_WORDS = 5
 MIN_ODDS = 1.8
 #: Support times odds that a term must reach beyond what its kin explain.
 MIN_GAIN = 25.0
@@ -263,26 +264,73 @@ def _related(term: str, other: str) -> bool:
     return (term.endswith("*") and b.startswith(a)) or (other.endswith("*") and a.startswith(b))
 
 
-def _picked(rows: list[tuple[bool, list[str]]], candidates: dict[str, float]) -> dict[str, float]:
+def _sides(text: W.Words, place: int, doc: int, hashes: list[int]) -> tuple[int | None, int | None]:
+    """Hashes of the ``PASSAGE_WORDS`` before and after a word; None where the text has fewer."""
+    first, last = int(text.first[doc]), int(text.first[doc + 1])
+
+    def side(low: int, high: int) -> int | None:
+        if low < first or high > last:
+            return None
+        return hash(tuple(hashes[c] for c in text.codes[low:high].tolist()))
+
+    return side(place - PASSAGE_WORDS, place), side(place + 1, place + 1 + PASSAGE_WORDS)
+
+
+def _held_terms(
+    texts: pa.Array, toxic: list[bool], candidates: dict[str, float]
+) -> Iterator[list[tuple[str, int | None, int | None]]]:
+    """Per text the candidates it holds; in toxic texts once for each of their surroundings."""
+    text = W.words(texts, W.PLAIN)
+    terms: dict[int, list[str]] = {}
+    hashes = []
+    for code, word in enumerate(text.dictionary.to_pylist()):
+        # Python's hash of bytes differs between processes, that of whole numbers does not.
+        hashes.append(int.from_bytes(hashlib.blake2b(word, digest_size=7).digest()))
+        name = word.decode("utf-8")
+        if 3 <= len(name) <= 40:
+            forms = [name, *(name[:k] + "*" for k in STEM_SIGNS if len(name) > k)]
+            if known := [f for f in forms if f in candidates]:
+                terms[code] = known
+    flagged = np.zeros(len(text.dictionary), bool)
+    flagged[list(terms)] = True
+    for doc, label in enumerate(toxic):
+        low, high = int(text.first[doc]), int(text.first[doc + 1])
+        held: set[tuple[str, int | None, int | None]] = set()
+        for place in (low + np.flatnonzero(flagged[text.codes[low:high]])).tolist():
+            sides = _sides(text, place, doc, hashes) if label else (None, None)
+            held |= {(term, *sides) for term in terms[int(text.codes[place])]}
+        yield sorted(held, key=str)
+
+
+def _picked(
+    rows: list[tuple[bool, list[tuple[str, int | None, int | None]]]], candidates: dict[str, float]
+) -> dict[str, float]:
     """Candidates from the strongest on, each by what it explains beyond its kin before it.
 
     Words and the stems they share stand for the same documents; a term is taken
     only if enough toxic documents hold it and no related term taken before.
+    Documents that hold a term only where earlier ones have the same words
+    before or after it share a passage with them and do not count again.
     """
     holders: dict[str, set[int]] = {t: set() for t in candidates}
+    apart: dict[str, set[int]] = {t: set() for t in candidates}
+    seen: dict[str, set[tuple[bool, int]]] = {t: set() for t in candidates}
     clean: Counter = Counter()
     for number, (label, held) in enumerate(rows):
-        if label:
-            for term in held:
-                holders[term].add(number)
-        else:
-            clean.update(held)
+        if not label:
+            clean.update({term for term, _, _ in held})
+            continue
+        for term, left, right in held:
+            holders[term].add(number)
+            if not {(True, left), (False, right)} & seen[term]:
+                apart[term].add(number)
+        for term, left, right in held:
+            seen[term] |= {(a, side) for a, side in ((True, left), (False, right)) if side is not None}
     n_toxic = sum(label for label, _ in rows)
     n_clean = len(rows) - n_toxic
-    least = max(MIN_SUPPORT, MIN_SHARE * n_toxic)
     # Of equally good terms the longest: a word before its stems.
     order = sorted(
-        candidates, key=lambda t: (-len(holders[t]) * candidates[t], -len(t.rstrip("*")), t)
+        candidates, key=lambda t: (-len(apart[t]) * candidates[t], -len(t.rstrip("*")), t)
     )
     chosen: dict[str, float] = {}
     for term in order:
@@ -290,9 +338,9 @@ def _picked(rows: list[tuple[bool, list[str]]], candidates: dict[str, float]) ->
         for other in chosen:
             if _related(term, other):
                 explained |= holders[other]
-        support = len(holders[term] - explained)
+        support = len(apart[term] - explained)
         odds = math.log((support + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[term] + 0.5))
-        if support >= least and odds >= MIN_ODDS and support * odds >= MIN_GAIN:
+        if support >= MIN_SUPPORT and odds >= MIN_ODDS and support * odds >= MIN_GAIN:
             chosen[term] = odds
             if len(chosen) == LEXICON:
                 break
@@ -408,18 +456,23 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.gathered(batches):
-            terms = _terms_of(W.words(batch.column(0), W.PLAIN))
+            found = list(_held_terms(batch.column(0), batch.column(1).to_pylist(), candidates))
+            columns = [
+                pa.array([[h[part] for h in held] for held in found], pa.list_(kind))
+                for part, kind in enumerate((pa.string(), pa.int64(), pa.int64()))
+            ]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1),
-                    pa.array([sorted(t & candidates.keys()) for t in terms], pa.list_(pa.string())),
-                ],
-                names=["toxic", "held"],
+                [batch.column(1), *columns], names=["toxic", "held", "left", "right"]
             )
 
     # At most FIT_ROWS rows, each with candidates only.
-    rows = sample.mapInArrow(held, "toxic boolean, held array<string>").collect()
-    model = Model(_picked([(r.toxic, r.held) for r in rows], candidates), (-3.0, 0.3, 0.3))
+    rows = sample.mapInArrow(
+        held, "toxic boolean, held array<string>, left array<bigint>, right array<bigint>"
+    ).collect()
+    listed = [(r.toxic, list(zip(r.held, r.left, r.right))) for r in rows]
+    # Sorted, as which of the documents that share a passage counts depends on the order.
+    terms = _picked(sorted(listed, key=str), candidates)
+    model = Model(terms, (-3.0, 0.3, 0.3))
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.gathered(batches):
