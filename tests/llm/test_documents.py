@@ -400,6 +400,34 @@ def test_rare_insults_are_learned_and_shared_passages_are_not(spark):
     assert not [t for t in model.terms if any(w.startswith(t.rstrip("*")) for w in passage)]
 
 
+def test_misspellings_of_inflected_and_accented_terms_are_found(spark):
+    rng = random.Random(5)
+    syllables = "ba ke li mo nu pa re si to wu".split()
+    insults = ["grunzel", "grunzels", "grunzeling", "dämlacker", "crétinoux"]
+    texts = []
+    fitted = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2][:1000]
+    for number, doc_id in enumerate(fitted):
+        words = ["".join(rng.choices(syllables, k=4)) for _ in range(30)]
+        if number < 100:
+            words.insert(rng.randrange(30), insults[number % 5])
+        texts.append((doc_id, " ".join(words), int(number < 100)))
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string, toxic int")
+    model = toxicity.trained(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert any(t.endswith("*") and "grunzel".startswith(t[:-1]) for t in model.terms)
+    spelled = ["grvnzel", "gruunzels", "gr1nzelinq", "dämlakker", "damlacker", "crétinou", "cretinoux"]
+    docs = spark.createDataFrame(
+        list(enumerate([*spelled, *insults, "nothing", "bakelimo"])), "doc_id bigint, text string"
+    )
+    got = {r.doc_id: r.score >= 0.3 for r in toxicity.scored(docs, model).collect()}
+    assert [got[i] for i in range(14)] == [True] * 12 + [False] * 2
+
+
+def test_each_term_has_its_own_allowance():
+    # The shorter term is as near, but too short for two edits.
+    model = toxicity.Model({"bbcde": 3.0, "bbcdefghi": 4.0}, (-5.0, 0.9, 0.0))
+    assert model.match(b"bbcdefg", True) == ("bbcdefghi", 2)
+
+
 def test_nearest_terms():
     trie = Trie(["idiot", "moron"])
     assert trie.nearest("idiot", 1) == (0, "idiot")

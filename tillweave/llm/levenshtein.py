@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 
 class LevenshteinAutomaton:
@@ -43,8 +43,13 @@ class Trie:
                 node = node.setdefault(sign, {})
             node[""] = term
 
-    def nearest(self, word: str, most: int) -> tuple[int, str] | None:
-        """Distance and term of the nearest term within ``most``; the least of equally near ones."""
+    def nearest(
+        self, word: str, most: int, allowed: Callable[[str], int] | None = None
+    ) -> tuple[int, str] | None:
+        """Distance and term of the nearest term within ``most``; the least of equally near ones.
+
+        Terms farther away than ``allowed`` says of them are passed over.
+        """
         automaton = LevenshteinAutomaton(word, most)
         best: tuple[int, str] | None = None
         open_nodes = [(self.root, automaton.start())]
@@ -53,7 +58,9 @@ class Trie:
             for sign, below in node.items():
                 if sign == "":
                     distance = automaton.distance(state)
-                    if distance is not None and (best is None or (distance, below) < best):
+                    if distance is None or (allowed and distance > allowed(below)):
+                        continue
+                    if best is None or (distance, below) < best:
                         best = (distance, below)
                     continue
                 onward = automaton.step(state, sign)

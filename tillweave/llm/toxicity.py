@@ -74,12 +74,17 @@ class Model:
     curve: tuple[float, float, float]
     #: Words near a term that clean texts hold as well: words of their own, not misspellings.
     ordinary: frozenset[str] = frozenset()
+    #: Whole words behind stems, with the stem each of them counts as.
+    behind: dict[str, str] = field(default_factory=dict)
     stems: dict[str, str] = field(init=False)
     trie: Trie = field(init=False)
 
     def __post_init__(self) -> None:
         self.stems = {t[:-1]: t for t in self.terms if t.endswith("*")}
-        fuzzy = [t for t in self.terms if not t.endswith("*") and len(t) >= FUZZY_FROM and t.isascii()]
+        whole = {t: t for t in self.terms if not t.endswith("*")}
+        #: By spelling the term that it and words near it stand for.
+        self.spelled = {w: t for w, t in (self.behind | whole).items() if len(w) >= FUZZY_FROM}
+        fuzzy = list(self.spelled)
         self.trie = Trie(fuzzy)
         self.masks = np.array([_mask(t) for t in fuzzy], np.uint32)
         self.sizes = np.array([len(t) for t in fuzzy], np.int64)
@@ -98,9 +103,9 @@ class Model:
             if text[:size] in self.stems and len(text) >= size:
                 return self.stems[text[:size]], 0
         if fuzzy and text not in self.ordinary:
-            found = self.trie.nearest(text, 2)
-            if found and found[0] <= _allowed(found[1]):
-                return found[1], found[0]
+            found = self.trie.nearest(text, 2, _allowed)
+            if found:
+                return self.spelled[found[1]], found[0]
         return None
 
     def matches(self, text: W.Words) -> dict[int, tuple[str, int]]:
@@ -129,11 +134,10 @@ class Model:
             return out
         data, bounds = W.raw_bytes(dictionary)
         masks = np.bitwise_or.reduceat(_SIGN[data], bounds[:-1])
-        sizes = np.diff(bounds)
-        # Beyond ASCII a sign takes up to four bytes.
-        longest = np.where(masks & ~_LETTERS, 4, 1)
+        # Signs, not bytes: all but those that continue one.
+        sizes = np.add.reduceat((data & 0xC0 != 0x80).astype(np.int64), bounds[:-1])
         for mask, size, slack, letters in zip(self.masks, self.sizes, self.slack, self.letters):
-            fits = (sizes >= size - slack) & (sizes <= size + slack * longest)
+            fits = (sizes >= size - slack) & (sizes <= size + slack)
             fits &= np.bitwise_count(mask & ~masks) <= slack
             fits &= np.bitwise_count(masks & ~mask & _LETTERS) <= slack
             some = np.flatnonzero(fits & ~out)
@@ -472,7 +476,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     listed = [(r.toxic, list(zip(r.held, r.left, r.right))) for r in rows]
     # Sorted, as which of the documents that share a passage counts depends on the order.
     terms = _picked(sorted(listed, key=str), candidates)
-    model = Model(terms, (-3.0, 0.3, 0.3))
+    model = Model(terms, (-3.0, 0.3, 0.3), behind=_behind(sample, terms, odds))
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.gathered(batches):
@@ -500,7 +504,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
         .where((F.col("clean") > 0) & (odds < MIN_ODDS))
         .collect()
     )
-    model = Model(model.terms, model.curve, frozenset(r.word for r in variants))
+    model = Model(model.terms, model.curve, frozenset(r.word for r in variants), model.behind)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.gathered(batches):
@@ -513,7 +517,47 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     fit = sample.mapInArrow(measured, "toxic boolean, total double, strongest double").collect()
     features = np.array([(r.total, r.strongest) for r in fit]).reshape(-1, 2)
     curve = _fitted_curve(features, np.array([float(r.toxic) for r in fit]))
-    return Model(model.terms, curve, model.ordinary)
+    return Model(model.terms, curve, model.ordinary, model.behind)
+
+
+def _behind(sample: DataFrame, terms: dict[str, float], odds: Column) -> dict[str, str]:
+    """Whole words of the sample that a stem of ``terms`` stands for, so that they can be misspelled.
+
+    Only words that toxic texts hold much rather than others: what is near an
+    ordinary word is no misspelling of an insult.
+    """
+    stems = {t for t in terms if t.endswith("*")}
+
+    def stemmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.gathered(batches):
+            words, stands, toxic = [], [], []
+            held = _terms_of(W.words(batch.column(0), W.PLAIN))
+            for names, label in zip(held, batch.column(1).to_pylist()):
+                for name in names:
+                    if name.endswith("*"):
+                        continue
+                    # The shortest stem, as in matching.
+                    stem = next((s for k in STEM_SIGNS if (s := name[:k] + "*") in stems), None)
+                    if stem and len(name) >= len(stem) - 1:
+                        words.append(name)
+                        stands.append(stem)
+                        toxic.append(label)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), pa.array(stands, pa.string()), pa.array(toxic, pa.bool_())],
+                names=["word", "stem", "toxic"],
+            )
+
+    if not stems:
+        return {}
+    found = (
+        sample.select("text", "toxic")
+        .mapInArrow(stemmed, "word string, stem string, toxic boolean")
+        .groupBy("word", "stem")
+        .agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
+        .where((F.col("toxic") > 0) & (odds >= MIN_ODDS))
+        .collect()
+    )
+    return {r.word: r.stem for r in found}
 
 
 def _scores(texts: pa.Array, model: Model) -> np.ndarray:
