@@ -428,6 +428,18 @@ def test_each_term_has_its_own_allowance():
     assert model.match(b"bbcdefg", True) == ("bbcdefghi", 2)
 
 
+def test_a_repeated_labelled_id_gives_one_text(spark):
+    # Texts that share no word, so that none is a copy of another.
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(30)]
+    rows = [(3 if i < 25 else i, t) for i, t in enumerate(texts)] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, toxic int")
+    got = [r.text for r in toxicity.labelled_sample(docs, labels).collect()]
+    fitted = [i for i in (3, 25, 26, 27, 28, 29) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(got) == len(fitted)
+    assert sum(t in texts[:25] for t in got) == (3 in fitted)
+
+
 def test_nearest_terms():
     trie = Trie(["idiot", "moron"])
     assert trie.nearest("idiot", 1) == (0, "idiot")

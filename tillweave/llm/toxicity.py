@@ -389,7 +389,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of at most ``FIT_ROWS`` labelled ids, picked by a hash of the id; no copies.
 
     Ids whose crc32 leaves 2 modulo 4 are held out.  An id with several labels
-    is toxic if one of them says so; null labels are none.
+    is toxic if one of them says so; null labels are none.  Of an id with several
+    texts the one with the least hash is taken, null last.
     """
     picked = (
         labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -400,7 +401,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("labelled"), (F.col("toxic") == 1).alias("toxic"))
     )
     # At most FIT_ROWS rows of nine bytes.
-    joined = docs.join(F.broadcast(picked), docs["doc_id"] == F.col("labelled"))
+    first = F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("hash"), "text"))
+    joined = (
+        docs.join(F.broadcast(picked), docs["doc_id"] == F.col("labelled"))
+        .groupBy("labelled", "toxic")
+        .agg(first.alias("first"))
+        .select("first.text", "toxic")
+    )
 
     def printed(batch: pa.RecordBatch) -> pa.RecordBatch:
         prints = pa.array(fingerprints(batch.column(0)).view(np.int64))
@@ -409,8 +416,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         )
 
     rows = stored(
-        joined.select(docs["text"], "toxic")
-        .mapInArrow(W.per_chunk(printed, HASHED_BYTES), "text string, toxic boolean, fp bigint"),
+        joined.mapInArrow(W.per_chunk(printed, HASHED_BYTES), "text string, toxic boolean, fp bigint"),
         "toxicity-sample",
     )
     # Copies would make any word of a copied toxic text look toxic: one of them is enough.
