@@ -135,7 +135,8 @@ class Model:
         data, bounds = W.raw_bytes(dictionary)
         masks = np.bitwise_or.reduceat(_SIGN[data], bounds[:-1])
         # Signs, not bytes: all but those that continue one.
-        sizes = np.add.reduceat((data & 0xC0 != 0x80).astype(np.int64), bounds[:-1])
+        more_bytes = np.searchsorted(np.flatnonzero(data & 0xC0 == 0x80), bounds)
+        sizes = np.diff(bounds) - np.diff(more_bytes)
         for mask, size, slack, letters in zip(self.masks, self.sizes, self.slack, self.letters):
             fits = (sizes >= size - slack) & (sizes <= size + slack)
             fits &= np.bitwise_count(mask & ~masks) <= slack
