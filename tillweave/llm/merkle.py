@@ -30,8 +30,7 @@ from tillweave.operators.positions import number_rows
 
 ARITY = 3
 
-_SIDES = "struct<before:string,after:string>"
-_NO_PATH = F.array().cast(f"array<{_SIDES}>")
+_PATH = "array<struct<before:string,after:string>>"
 
 
 def digest(value: Column) -> Column:
@@ -222,7 +221,7 @@ class Manifest:
     def proofs(self) -> DataFrame:
         """Per leaf: grp, rank, digest, what was carried, path to the dataset's root, subroot."""
         top = self.whole.roots().select(
-            "grp", "height", _NO_PATH.alias("path"), F.col("digest").alias("top")
+            "grp", "height", F.array().cast(_PATH).alias("path"), F.col("digest").alias("top")
         )
         # The leaves of the upper tree are the roots of the groups.
         above = self.whole.paths(top).select(
