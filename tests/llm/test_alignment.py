@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import random
 from collections import Counter
 
@@ -53,16 +54,13 @@ class _Plain:
                 mine.append(at)
             ends.append(mine)
         cuts = sorted(set(ends[0]) & set(ends[1]))
-        out, low = [], 0
-        for cut in cuts:
-            out.append(
-                tuple(
-                    [i for (i, _), e in zip(side, es) if low < e <= cut]
-                    for side, es in ((a, ends[0]), (b, ends[1]))
-                )
-            )
-            low = cut
-        return out
+        sides = []
+        for side, es in ((a, ends[0]), (b, ends[1])):
+            mine = [[] for _ in cuts]
+            for (i, _), end in zip(side, es):
+                mine[bisect.bisect_left(cuts, end)].append(i)
+            sides.append(mine)
+        return list(zip(*sides))
 
 
 def _written(groups):

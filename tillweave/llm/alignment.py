@@ -30,7 +30,7 @@ from tillweave.llm import words as W
 from tillweave.llm.tables import stored
 
 #: Bytes of text in a lot; one longer text is a lot alone.
-LOT_BYTES = 4 << 20
+LOT_BYTES = 2 << 20
 #: Bytes of distinct stretches that are encoded as one text.
 RUN_BYTES = 1 << 14
 #: Links of a group beyond which they are counted by distinct ids.
@@ -39,7 +39,7 @@ WIDE_GROUP = 1 << 12
 _LOT_SCHEMA = (
     "lot bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>,"
     " n_links array<bigint>, groups array<string>, pairs array<bigint>, holders array<bigint>,"
-    " held array<bigint>, codes binary, times binary"
+    " held array<bigint>, codes binary, more binary, times binary"
 )
 #: A pair is one number: the id of the first tokenizer above this bit, the second's below.
 _ID_BITS = 32
@@ -335,7 +335,9 @@ def _lot(sums, groups, pairs, holders, held, codes, times) -> dict[str, object]:
         "holders": holders[kept],
         "held": held,
         "codes": new[codes].astype("<u4").tobytes(),
-        "times": times.astype("<u4").tobytes(),
+        # Most pairs occur once in a text; the others' places and numbers.
+        "more": np.flatnonzero(times > 1).astype("<u4").tobytes(),
+        "times": times[times > 1].astype("<u4").tobytes(),
     }
 
 
@@ -393,6 +395,7 @@ _LOT_TYPES = {
     "holders": _LONGS,
     "held": _LONGS,
     "codes": pa.binary(),
+    "more": pa.binary(),
     "times": pa.binary(),
 }
 
@@ -453,9 +456,11 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(batch.num_rows):
             row = {name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)}
             held = row["held"].values.to_numpy()
-            codes = np.frombuffer(row["codes"].as_buffer(), "<u4")
-            times = np.frombuffer(row["times"].as_buffer(), "<u4").astype(np.int64)
-            owner = np.repeat(np.arange(len(held)), held)
+            codes, more, often = (
+                np.frombuffer(row[c].as_buffer(), "<u4") for c in ("codes", "more", "times")
+            )
+            times = np.ones(len(codes), np.int64)
+            times[more] = often
             best, total = np.zeros((2, len(held)), np.int64)
             if row["known"].is_valid:
                 known = row["known"].values
@@ -464,8 +469,10 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 counts[place] = count
                 tops = np.zeros(len(place), bool)
                 tops[place] = is_best
-                np.add.at(total, owner, times * counts[codes])
-                np.add.at(best, owner, times * tops[codes])
+                # Sums by running totals: exact, whatever the counts.
+                ends = np.append(0, np.cumsum(held))
+                total = np.diff(np.append(0, np.cumsum(times * counts[codes]))[ends])
+                best = np.diff(np.append(0, np.cumsum(times * tops[codes]))[ends])
             yield pa.RecordBatch.from_arrays(
                 [
                     row["doc_ids"].values,
