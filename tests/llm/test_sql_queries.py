@@ -27,4 +27,4 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_every_dealt_operator_has_a_query():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}

@@ -11,6 +11,7 @@ from tillweave.llm import (  # noqa: F401
     q08_toxicity,
     q09_language_model,
     q10_mixing,
+    q11_language,
     q12_alignment,
     q13_merkle,
 )
