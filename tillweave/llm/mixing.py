@@ -143,21 +143,9 @@ def hash_thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     )
 
 
-def copies_taken(
-    docs: DataFrame,
-    weights: Sequence[float] = (5.0, 2.0, 1.0),
-    share: float = 1.5,
-    most: float = 2.0,
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, source, size, hash, source_size, target, copies.
-
-    ``docs`` needs doc_id, text and source.  A null text has size 0, a null
-    source is a source of its own, null ids share a hash per source.  Rows that
-    repeat an id within a source have one hash and are taken alike.  A source
-    without words has target 0 and gives nothing.  No row gets more than
-    ``ceil(most)`` copies.  An empty table gives an empty result.
-    """
-    sized = stored(
+def _sized(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, size, hash) of every row, stored."""
+    return stored(
         docs.select(
             "doc_id",
             "source",
@@ -166,6 +154,12 @@ def copies_taken(
         ),
         "mix-sizes",
     )
+
+
+def source_rules(
+    sized: DataFrame, weights: Sequence[float], share: float, most: float
+) -> DataFrame:
+    """Per source: _source, source_size, target, whole copies of each row, and the hash threshold."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
@@ -180,7 +174,7 @@ def copies_taken(
     cut = hash_thresholds(sized, open_budgets).select(
         F.col("source").alias("_cut_source"), "threshold"
     )
-    rules = stored(
+    return stored(
         targets.join(cut, targets["source"].eqNullSafe(cut["_cut_source"]), "left").select(
             F.col("source").alias("_source"),
             "source_size",
@@ -190,22 +184,54 @@ def copies_taken(
         ),
         "mix-rules",
     )
+
+
+def copies_taken(
+    docs: DataFrame,
+    weights: Sequence[float] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    most: float = 2.0,
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, source, size, hash, source_size, target, copies.
+
+    ``docs`` needs doc_id, text and source.  A null text has size 0, a null
+    source is a source of its own, null ids share a hash per source.  Rows that
+    repeat an id within a source have one hash and are taken alike.  A source
+    without words has target 0 and gives nothing.  No row gets more than
+    ``ceil(most)`` copies.  An empty table gives an empty result.
+    """
+    sized = _sized(docs)
+    rules = source_rules(sized, weights, share, most)
     copies = F.col("whole") + (F.col("hash") < F.col("threshold")).cast("bigint")
     return sized.join(rules, _same_source(sized, rules)).select(
         "doc_id", "source", "size", "hash", "source_size", "target", copies.alias("copies")
     )
 
 
-def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; columns as given."""
-    taken = copies_taken(docs, **how).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_from"), "copies"
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = (5.0, 2.0, 1.0),
+    share: float = 1.5,
+    most: float = 2.0,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; columns as given.
+
+    A filter on the hash: the rows meet one rule per source and are not shuffled
+    while the stored rules are small enough to send.  Nulls, repeated rows and
+    sources without words as in ``copies_taken``; texts of any length stay
+    whole; other columns, whatever their names, are kept; an empty table gives
+    an empty result.
+    """
+    rules = source_rules(_sized(docs), weights, share, most)
+    rows = docs.select(
+        F.struct("*").alias("_row"),
+        F.col("source").alias("source"),
+        document_hash(F.col("doc_id"), F.col("source")).alias("hash"),
     )
-    # One hash, so one number of copies, per id and source.
-    rules = taken.groupBy("_id", "_from").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    kept = docs.join(
-        rules, docs["doc_id"].eqNullSafe(rules["_id"]) & docs["source"].eqNullSafe(rules["_from"])
+    copies = F.col("whole") + (F.col("hash") < F.col("threshold")).cast("bigint")
+    return (
+        rows.join(rules, _same_source(rows, rules))
+        .where(copies > 0)
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+        .select("_row.*")
     )
-    return kept.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    ).select(*[docs[c] for c in docs.columns])
