@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import components, odd_docs, tokens, words
 from tillweave.llm import anchors, decontamination, language_model, licence_automaton
@@ -89,6 +90,21 @@ def test_pieces_give_the_tokenizers_ids():
         assert ids[end - count : end].tolist() == want, text
 
 
+def test_another_tokenizer_gets_whole_texts():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.cuts_alike(default_tokenizer()) and not token_files.cuts_alike(path)
+    texts = ["Some Words, CAPS", None, "", "it's <b>"]
+    ids, counts = token_files.PieceEncoder(path).encode(pa.array(texts), 2)
+    whole = Tokenizer.from_file(path)
+    want = [[*whole.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == [i for own in want for i in own]
+    assert counts.tolist() == [len(own) for own in want]
+
+
 # --- SimHash ---------------------------------------------------------------------------------
 
 
@@ -462,8 +478,11 @@ def test_mix_of_odd_texts(spark):
     assert sum({r.source: r.target for r in got}.values()) == pytest.approx(
         1.5 * sum(r.size for r in got)
     )
+    docs = docs.withColumns({"_copy": F.lit("a"), "_copies": F.lit(7), "_row": F.lit(1), "hash": F.lit(2)})
     out = mixed(docs)
     assert out.columns == docs.columns
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
     assert out.count() == sum(r.copies for r in got)
     assert copies_taken(docs.limit(0)).collect() == [] and mixed(docs.limit(0)).collect() == []
 

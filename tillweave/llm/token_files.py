@@ -10,6 +10,7 @@ before it in the segment.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,9 @@ from tillweave.session import scratch_path
 #: A segment is closed at the end of the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 18
 #: Pieces of text whose ids a worker keeps; beyond that it starts anew.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
+#: Bytes of text that are encoded at once; one longer text is encoded alone.
+CHUNK_BYTES = 2 << 20
 
 SEGMENT_SCHEMA = (
     "shard int, segment int, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint,"
@@ -43,6 +46,24 @@ _LOWER = W.SPACED
 _AS_IS = W.byte_table([0x20, *range(0x09, 0x0E)], lower=False)
 
 
+# The normaliser and splitter for which cutting and lowering pieces changes no id.
+_LOWERED = ["NFC", "Replace", "Lowercase"]
+_SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_alike(path: str) -> bool:
+    """Whether the tokenizer of a file splits and lower-cases in the way that pieces presuppose."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    normal = (made.get("normalizer") or {}).get("normalizers") or []
+    split = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        [n["type"] for n in normal] == _LOWERED
+        and split[0].get("pattern") == {"Regex": _SPLITTER}
+        and bool(split[0].get("invert"))
+    )
+
+
 class PieceEncoder:
     """Encodes texts by way of their distinct pieces.
 
@@ -50,7 +71,8 @@ class PieceEncoder:
     signs before it looks at tokens, so the ids of a text are the ids of its
     pieces in order, and each distinct piece is given to the tokenizer once.
     Pieces are lowered first, as the tokenizer does itself, unless the text may
-    hold a special token, whose case counts.
+    hold a special token, whose case counts.  A tokenizer that works otherwise
+    is given whole texts.
     """
 
     def __init__(self, path: str):
@@ -58,6 +80,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_pieces = cuts_alike(path)
         # A special token is cut out of a text before anything else is done to it.
         marks = [
             (t.content.encode(), i)
@@ -103,6 +126,13 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with ``end_id`` after each text, and the number of ids of each text."""
+        if not self.by_pieces:
+            coded = self.tokenizer.encode_batch_fast(
+                [t or "" for t in texts.to_pylist()], add_special_tokens=False
+            )
+            ids = [[*c.ids, end_id] for c in coded]
+            counts = np.array([len(i) for i in ids], np.int64)
+            return np.array([i for own in ids for i in own], np.uint32), counts
         data, bounds = W.raw_bytes(texts)
         kind = _KIND[data]
         edge = np.zeros(len(data), bool)
@@ -170,7 +200,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
         doc_ids: list = []
         lengths: list = []
         ids: list = []
-        for batch in W.gathered(batches):
+        for batch in W.gathered(batches, size=CHUNK_BYTES):
             coded, counts = encoder.encode(batch.column(1), end_id)
             ends = np.cumsum(counts)
             names = batch.column(0).to_pylist()
@@ -264,7 +294,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
-    """Write the token files of ``docs`` to the shared folder and read each document back."""
+    """Write the token files of ``docs`` to the shared folder and read each document back.
+
+    Nulls, empty and repeated rows, long texts and empty tables as in
+    ``write_tokens``; columns other than doc_id and text are not looked at.
+    """
     path = scratch_path(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
     return read_documents(docs.sparkSession, path)

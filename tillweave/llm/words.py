@@ -7,6 +7,7 @@ A table of 256 entries sends every byte to itself, to its lower-case form or to
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -128,6 +129,16 @@ def gathered(
             held, taken = [], 0
     if held:
         yield _joined(held)
+        held = []
+    return_memory()
+
+
+def return_memory() -> None:
+    """Give freed memory back to the system: a worker outlives its task and is used again."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
