@@ -6,6 +6,7 @@ import datetime as dt
 import math
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,7 +143,7 @@ def test_line_without_season_is_continued(spark):
         assert r.lower == pytest.approx(r.yhat) and r.is_future == (i >= 24)
 
 
-def test_fit_follows_the_published_steps(spark):
+def test_straight_line_follows_the_published_steps(spark):
     values = [(1000 + 20 * i) * (1 + 0.3 * math.sin(math.pi * i / 6)) for i in range(36)]
     n, ts = len(values), list(range(36))
     mt, my = sum(ts) / n, sum(values) / n
@@ -154,12 +155,69 @@ def test_fit_follows_the_published_steps(spark):
     residual = [values[i] - trend[i] * index[i % 12] for i in ts]
     centre = sum(residual) / n
     sigma = math.sqrt(sum((r - centre) ** 2 for r in residual) / (n - 1))
-    out = Fc.forecast(series_frame(spark, values)).orderBy("ds").collect()
+    straight = Fc.ForecastParams(changes=0, waves=0)
+    out = Fc.forecast(series_frame(spark, values), straight).orderBy("ds").collect()
     for i, r in enumerate(out):
         assert r.yhat == pytest.approx(trend[i] * index[i % 12], rel=1e-9)
         assert r.upper - r.yhat == pytest.approx(1.959964 * sigma, rel=1e-6)
 
 
+def _design(params, n):
+    rows = []
+    for i in range(n):
+        s = i / (n - 1)
+        waves = [
+            f(2 * math.pi * (k + 1) / 12 * (i % 12 + 1))
+            for k in range(params.waves)
+            for f in (math.sin, math.cos)
+        ]
+        waves += [w * s for w in waves]
+        rows.append([1.0, s, *[max(s - c, 0.0) for c in params.breaks], *waves])
+    return np.array(rows)
+
+
+def test_weights_solve_the_normal_equations(spark):
+    params = Fc.ForecastParams(changes=5, waves=1)
+    values = [1000 + 30 * i - 45 * max(i - 25, 0) + 80 * math.sin(i) for i in range(50)]
+    x, y = _design(params, 50), np.array(values) / max(map(abs, values))
+    want = np.linalg.solve(x.T @ x + np.diag(params.penalties), x.T @ y)
+    row = Fc.broken_trend(series_frame(spark, values), params).first()
+    assert row.weights == pytest.approx(list(want), abs=1e-9)
+    assert row.scale == max(map(abs, values)) and row.span == 49
+
+
+def test_a_planted_break_is_followed(spark):
+    values = [1000 + 10 * i + 40 * max(i - 30, 0) for i in range(60)]
+    season = [1 + 0.2 * math.sin(math.pi * i / 6) for i in range(72)]
+    frame = series_frame(spark, [v * s for v, s in zip(values, season)])
+    model = Fc.fit(Fc.decompose(frame)).first()
+    assert model.first_slope == pytest.approx(10, abs=6)
+    assert model.slope == pytest.approx(50, rel=0.1)
+    future = Fc.future_only(Fc.forecast(frame)).orderBy("ds").collect()
+    for i, r in enumerate(future, start=60):
+        assert r.yhat == pytest.approx((1000 + 10 * i + 40 * (i - 30)) * season[i], rel=0.06)
+    straight = Fc.future_only(Fc.forecast(frame, Fc.ForecastParams(changes=0, waves=0)))
+    last = straight.orderBy(F.desc("ds")).first()
+    true = (1000 + 10 * 71 + 40 * 41) * season[71]
+    assert abs(future[-1].yhat - true) < abs(last.yhat - true) / 2
+
+
+def test_bounds_widen_with_the_changes_of_the_past(spark):
+    def widths(values, **how):
+        out = Fc.forecast(series_frame(spark, values), Fc.ForecastParams(**how)).orderBy("ds").collect()
+        return [(r.upper - r.lower, r.seasonal, r.is_future) for r in out]
+
+    broken = [1000 + 10 * i + 40 * max(i - 30, 0) for i in range(60)]
+    past = [w for w, _, future in widths(broken, mode=Fc.ADDITIVE) if not future]
+    ahead = [w for w, _, future in widths(broken, mode=Fc.ADDITIVE) if future]
+    assert max(past) == pytest.approx(min(past)) and ahead[0] > past[0]
+    assert all(b > a for a, b in zip(ahead, ahead[1:]))
+    steady = [w for w, _, _ in widths([100 + 5 * i for i in range(36)])]
+    assert max(steady) == pytest.approx(0, abs=1e-3)
+    line = [w for w, _, _ in widths(broken, changes=0, waves=0)]
+    assert max(line) == pytest.approx(min(line))
+
+
 def test_additive_mode_recovers_a_seasonal_pattern(spark):
     season = [10, -10, 5, -5, 0, 0, 20, -20, 3, -3, 0, 0]
     values = [500 + season[i % 12] for i in range(36)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,7 +29,36 @@ combined AS (SELECT 'ALL' AS series, ds, SUM(y) AS y FROM by_chain GROUP BY ds),
 every_series AS (SELECT * FROM by_chain UNION ALL SELECT * FROM combined)
 """
 
-_MODEL_SQL = _SERIES_SQL.rstrip() + """,
+_CHANGES = _MODEL.changes
+_SIZE = len(_MODEL.penalties)
+_PENALTIES = f"[{', '.join(f'{p!r}::DOUBLE' for p in _MODEL.penalties)}]"
+_HINGES = [f"greatest({{time}} - {c!r}, 0.0)" for c in _MODEL.breaks]
+_WAVES = [
+    f"{f}({2 * math.pi * (k + 1) / 12!r} * timed.m)" for k in range(_MODEL.waves) for f in ("sin", "cos")
+]
+# The season multiplies, so its waves may grow with time.
+_WAVES += [f"{w} * (timed.t / span)" for w in _WAVES]
+_DESIGN_SQL = "[" + ", ".join(
+    ["1.0::DOUBLE", "timed.t / span", *[h.format(time="timed.t / span") for h in _HINGES], *_WAVES, "y / scale"]
+) + "]"
+
+
+def _trend_sql(time: str) -> str:
+    hinges = [f"{h.format(time=time)} * l.w[{i + 3}]" for i, h in enumerate(_HINGES)]
+    return f"l.scale * (l.w[1] + {time} * l.w[2] + {' + '.join(hinges)})"
+
+
+# One column is cleared after the other.
+_ELIMINATION_SQL = "cleared_0 AS (SELECT * FROM normal),\n" + "\n".join(
+    f"""cleared_{k} AS (
+  SELECT series, list_transform(m, lambda own, i: CASE WHEN i = {k}
+    THEN list_transform(own, lambda v: v / m[{k}][{k}])
+    ELSE list_transform(own, lambda v, j: v - own[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m
+  FROM cleared_{k - 1}),"""
+    for k in range(1, _SIZE + 1)
+)
+
+_MODEL_SQL = _SERIES_SQL.rstrip() + f""",
 timed AS (
   SELECT e.series, e.ds, CAST(e.y AS DOUBLE) AS y, b.start, b.last, month(e.ds) AS m,
          date_diff('month', b.start, e.ds) AS t
@@ -36,13 +67,31 @@ timed AS (
     ON b.series = e.series
 ),
 line AS (
-  SELECT series, start, last, COUNT(*) AS months, regr_slope(y, CAST(t AS DOUBLE)) AS slope,
-         regr_intercept(y, CAST(t AS DOUBLE)) AS intercept
+  SELECT series, start, last, COUNT(*) AS months, SUM(y) AS total,
+         CAST(greatest(date_diff('month', start, last), 1) AS DOUBLE) AS span,
+         CASE WHEN MAX(abs(y)) > 0 THEN MAX(abs(y)) ELSE 1.0 END AS scale
   FROM timed GROUP BY series, start, last
 ),
+design AS (
+  SELECT timed.series, {_DESIGN_SQL} AS x FROM timed JOIN line ON line.series = timed.series
+),
+normal AS (
+  SELECT series, list(line ORDER BY i) AS m FROM (
+    SELECT series, i, list(v ORDER BY j) AS line FROM (
+      SELECT series, i, j,
+             SUM(x[i] * x[j]) + CASE WHEN i = j THEN any_value({_PENALTIES}[i]) ELSE 0 END AS v
+      FROM design, range(1, {_SIZE + 1}) a(i), range(1, {_SIZE + 2}) b(j) GROUP BY series, i, j)
+    GROUP BY series, i)
+  GROUP BY series
+),
+{_ELIMINATION_SQL}
+weighed AS (
+  SELECT line.*, CASE WHEN months = 1 THEN list_prepend(total / scale, list_resize([]::DOUBLE[], {_SIZE - 1}, 0.0))
+         ELSE list_transform(m, lambda own: own[{_SIZE + 1}]) END AS w
+  FROM line JOIN cleared_{_SIZE} c ON c.series = line.series
+),
 trended AS (
-  SELECT timed.*, line.intercept + line.slope * timed.t AS trend
-  FROM timed JOIN line ON line.series = timed.series
+  SELECT t.*, {_trend_sql("t.t / l.span")} AS trend FROM timed t JOIN weighed l ON l.series = t.series
 ),
 raw_index AS (
   SELECT series, m, AVG(CASE WHEN trend > 0 THEN y / trend END) AS raw
@@ -56,7 +105,13 @@ parts AS (
   FROM trended t JOIN season s ON s.series = t.series AND s.m = t.m
 ),
 spread AS (SELECT series, stddev_samp(residual) AS sigma FROM parts GROUP BY series),
-model AS (SELECT line.*, spread.sigma FROM line JOIN spread ON spread.series = line.series),
+model AS (
+  SELECT l.*, spread.sigma, l.scale * l.w[1] AS intercept, l.scale / l.span * l.w[2] AS first_slope,
+         l.scale / l.span * list_sum(l.w[2:{_CHANGES + 2}]) AS slope,
+         l.scale / l.span
+           * sqrt(list_sum(list_transform(l.w[3:{_CHANGES + 2}], lambda v: v * v)) / {_CHANGES}) AS change
+  FROM weighed l JOIN spread ON spread.series = l.series
+),
 horizon AS (
   SELECT series, CAST(ds AS DATE) AS ds, CAST(ds AS DATE) > last AS is_future
   FROM (SELECT series, last,
@@ -64,13 +119,18 @@ horizon AS (
                                       INTERVAL 1 MONTH)) AS ds
         FROM model)
 ),
-predicted AS (
-  SELECT h.series, h.ds, h.is_future,
-         (m.intercept + m.slope * date_diff('month', m.start, h.ds)) * COALESCE(s.s, 1.0) AS yhat,
-         m.intercept + m.slope * date_diff('month', m.start, h.ds) AS trend,
-         COALESCE(s.s, 1.0) AS seasonal, m.sigma * 1.959964 AS margin
-  FROM horizon h JOIN model m ON m.series = h.series
+projected AS (
+  SELECT h.series, h.ds, h.is_future, l.sigma, l.change, l.span, COALESCE(s.s, 1.0) AS seasonal,
+         greatest(date_diff('month', l.last, h.ds), 0) AS beyond,
+         {_trend_sql("date_diff('month', l.start, h.ds) / l.span")} AS trend
+  FROM horizon h JOIN model l ON l.series = h.series
   LEFT JOIN season s ON s.series = h.series AND s.m = month(h.ds)
+),
+predicted AS (
+  SELECT series, ds, is_future, trend, seasonal, trend * seasonal AS yhat,
+         1.959964 * sqrt(sigma * sigma + {_CHANGES} / {_MODEL.change_range} / span
+           * change * change * beyond ** 3 / 3 * seasonal * seasonal) AS margin
+  FROM projected
 )
 """
 
@@ -127,14 +187,16 @@ def series_profile(spark, sf_dir):
     "forecast_fit",
     _MODEL_SQL + f"""SELECT series, months, strftime(start, '%Y-%m-%d') AS start,
        strftime(last, '%Y-%m-%d') AS last, {_sql_m("slope")} AS slope_m,
-       {_sql_m("intercept")} AS intercept_m, {_sql_m("sigma")} AS sigma_m FROM model""",
+       {_sql_m("intercept")} AS intercept_m, {_sql_m("sigma")} AS sigma_m,
+       {_sql_m("first_slope")} AS first_slope_m, {_sql_m("change")} AS change_m FROM model""",
 )
 def forecast_fit(spark, sf_dir):
-    model = Fc.fit(_components(spark, sf_dir))
+    model = Fc.fit(_components(spark, sf_dir), _MODEL)
     return R.iso_dates(
         model.select(
             "series", "months", "start", "last", _m("slope").alias("slope_m"),
             _m("intercept").alias("intercept_m"), _m("sigma").alias("sigma_m"),
+            _m("first_slope").alias("first_slope_m"), _m("change").alias("change_m"),
         )
     )
 
@@ -144,7 +206,7 @@ def forecast_fit(spark, sf_dir):
     _MODEL_SQL + f"SELECT series, {_ISO}, CAST(is_future AS INTEGER) AS is_future FROM horizon",
 )
 def forecast_horizon(spark, sf_dir):
-    frame = Fc.future_frame(Fc.fit(_components(spark, sf_dir)), _MODEL)
+    frame = Fc.future_frame(Fc.fit(_components(spark, sf_dir), _MODEL), _MODEL)
     return R.iso_dates(frame.select("series", "ds", F.col("is_future").cast("int")))
 
 
@@ -159,7 +221,7 @@ def _bounds():
 
 
 def _prediction(spark, sf_dir):
-    return Fc.predict(Fc.fit(_components(spark, sf_dir)), _MODEL)
+    return Fc.predict(Fc.fit(_components(spark, sf_dir), _MODEL), _MODEL)
 
 
 @registered("forecast_predict", _MODEL_SQL + f"SELECT series, {_ISO}, {_BOUNDS_SQL} FROM predicted")
