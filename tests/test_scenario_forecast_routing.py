@@ -311,7 +311,7 @@ def test_csv_round_trip_keeps_types_and_nulls(spark, make_lines):
     lines = make_lines({"gender": None, "order_number": None}, {}).select(*S.LINE_COLUMNS)
     path = scratch_path(spark, "test-csv")
     Feeds.write_csv(lines, path)
-    back = Feeds.read_csv(spark, path, S.line_schema())
+    back = Feeds.read_csv(spark, path, S.line_schema(), line_ends=True)
     assert back.schema == S.line_schema()
     assert back.exceptAll(lines).isEmpty() and back.count() == 2
 

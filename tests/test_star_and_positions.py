@@ -190,7 +190,7 @@ def test_csv_keeps_texts(spark):
     df = spark.createDataFrame(rows, "t string, n int")
     path = scratch_path(spark, "test-texts")
     Feeds.write_csv(df, path)
-    back = [tuple(r) for r in Feeds.read_csv(spark, path, df.schema).collect()]
+    back = [tuple(r) for r in Feeds.read_csv(spark, path, df.schema, line_ends=True).collect()]
     assert sorted(back, key=lambda r: r[1]) == rows
     with pytest.raises(Exception, match="null mark"):
         Feeds.write_csv(spark.createDataFrame([("\\N",)], "t string"), scratch_path(spark, "x"))

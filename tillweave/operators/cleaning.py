@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tillweave import schema as S
 from tillweave.functions import cleaning as C
+from tillweave.operators.type_lattice import widened
 
 
 @dataclass(frozen=True)
@@ -149,5 +150,8 @@ def clean_feed(raw: DataFrame, cfg: FeedConfig) -> DataFrame:
 
 
 def merge_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
-    """Bag union of cleaned feeds; a column one feed lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+    """Bag union of cleaned feeds; a column one feed lacks is null there.
+
+    A column of several types gets the least type that holds them all.
+    """
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), widened(feeds))

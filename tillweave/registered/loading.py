@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillweave import schema as S
 from tillweave.operators import cleaning as Clean
 from tillweave.operators import star as D
+from tillweave.operators import type_lattice as TL
 from tillweave.operators.positions import number_rows
 from tillweave.registered import base as R
 from tillweave.registered.base import registered
@@ -72,8 +73,61 @@ def csv_round_trip(spark, sf_dir):
     for i, value in enumerate(_AWKWARD):
         text = F.when(F.col("item_number") % 20 == i, F.lit(value)).otherwise(text)
     lines = R.lines(spark, sf_dir, S.LINE_COLUMNS).withColumn("item_description", text)
-    Feeds.write_csv(lines, path)
-    return R.iso_dates(Feeds.read_csv(spark, path, S.line_schema()))
+    # The file has its columns in another order and one more; they are found by name.
+    Feeds.write_csv(lines.select(F.lit("x").alias("unasked"), *reversed(lines.columns)), path)
+    return R.iso_dates(Feeds.read_csv(spark, path, S.line_schema(), line_ends=True))
+
+
+#: Columns of the lines whose types the CSV below is to tell, and two made of several kinds of text.
+_TYPED = (
+    "chain", "order_number", "restaurant_zip_code", "order_purchase_date", "order_purchase_time",
+    "item_number", "item_description", "quantity", "menu_price", "profit", "order_total_cost",
+)
+_MIXED = {
+    "mostly_whole": "CASE WHEN item_number % 50 = 0 THEN 'n/a' ELSE CAST(item_number AS STRING) END",
+    "never_known": "CAST(NULL AS STRING)",
+}
+
+
+def _inferred_sql() -> str:
+    form = {f: f"count(*) FILTER (WHERE regexp_matches(v, '{p}'))" for f, p in TL.PATTERNS.items()}
+    for f in ("day", "time"):
+        form[f] = form[f].replace("))", ") AND TRY_CAST(v[1:10] AS DATE) IS NOT NULL)")
+    mixed = {k: v.replace("AS STRING", "AS VARCHAR") for k, v in _MIXED.items()}
+    columns = [*reversed(_TYPED), *mixed]
+    parts = [
+        f"SELECT {i} AS position, '{c}' AS name, nullif(CAST({mixed.get(c, c)} AS VARCHAR), '') AS v FROM lines"
+        for i, c in enumerate(columns)
+    ]
+    counted = ", ".join(f"{expr} AS n_{f}" for f, expr in form.items())
+    exact = TL.PATTERNS["exact"]
+    narrower = ", ".join(
+        f"CASE WHEN n_{f} * 2 > vals AND n_{f} < vals THEN vals - n_{f} ELSE 0 END"
+        for f in TL.PATTERNS
+    )
+    return f""", texts AS ({" UNION ALL ".join(parts)}),
+    counted AS (
+      SELECT position, name, count(v) AS vals, count(*) - count(v) AS nulls, {counted},
+        max(length(split_part(ltrim(v, '+-'), '.', 1))) FILTER (WHERE regexp_matches(v, '{exact}')) AS w,
+        coalesce(max(length(split_part(v, '.', 2))) FILTER (WHERE regexp_matches(v, '{exact}')), 0) AS s
+      FROM texts GROUP BY position, name)
+    SELECT position, name AS "column", vals AS "values", nulls, greatest({narrower}) AS conflicts,
+      CASE WHEN vals = 0 THEN 'string' WHEN n_truth = vals THEN 'boolean' WHEN n_whole = vals THEN 'bigint'
+        WHEN n_exact = vals THEN 'decimal(' || (w + s) || ',' || s || ')' WHEN n_float = vals THEN 'double'
+        WHEN n_day = vals THEN 'date' WHEN n_time = vals THEN 'timestamp' ELSE 'string' END AS "type"
+    FROM counted"""
+
+
+@registered("csv_inferred", _inferred_sql())
+def csv_inferred(spark, sf_dir):
+    """The types that a CSV of lines is found to have, and what speaks against narrower ones."""
+    path = scratch_path(spark, "typed-csv")
+    lines = R.lines(spark, sf_dir, (*_TYPED,))
+    mixed = [F.expr(text).alias(name) for name, text in _MIXED.items()]
+    Feeds.write_csv(lines.select(*reversed(_TYPED), *mixed), path)
+    return Feeds.csv_profile(spark, path).select(
+        "position", "column", "values", "nulls", "conflicts", "type"
+    )
 
 
 _SQL_SURFACE = """
