@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillweave import session
 from tillweave.operators import star as D
 from tillweave.operators.cleaning import FeedConfig, tag_feed
 from tillweave.operators.positions import number_in_file_order, number_rows
+from tillweave.registered import base as R
 from tillweave.session import scratch_path
 from tillweave.sources import feeds as Feeds
 from tillweave.sources import warehouse as W
@@ -118,6 +121,53 @@ def test_full_refresh_replaces(spark, make_lines, stored):
     assert star.orders.count() == 1
 
 
+def test_unique_order_numbers_alike_without_a_copy(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 1000).alias("v"), (F.col("id") % 3).alias("g"))
+    plain = number_rows(df, ["v"], "n", group=["g"]).collect()
+    assert sorted(plain) == sorted(number_rows(df, ["v"], "n", group=["g"], unique=True).collect())
+
+
+def test_load_is_counted_while_written(spark, make_lines):
+    folder = scratch_path(spark, "test-log")
+    W.write_star(spark, make_lines({}, {"gender": None}, {"gender": None}), folder)
+    log = {r.metric: r.value for r in W.load_log(spark, folder).collect()}
+    assert (log["rows"], log["unknown_money"]) == (3, 0)
+    assert (log["nulls_gender"], log["nulls_customer_id"]) == (2, 0)
+
+
+def test_old_versions_go_and_the_current_one_stays(spark, make_lines):
+    folder = scratch_path(spark, "test-versions")
+    for n in (1, 2, 3, 4):
+        W.write_star(spark, make_lines(*[{}] * n), folder)
+    assert len(W.drop_old_versions(spark, folder, keep=2)) == 2
+    assert len(os.listdir(f"{folder}/versions")) == 2
+    assert W.read_star(spark, folder).orders.count() == 4
+    with pytest.raises(ValueError, match="current"):
+        W.drop_old_versions(spark, folder, keep=0)
+
+
+def test_a_broken_load_leaves_no_files(spark, make_lines):
+    folder = scratch_path(spark, "test-broken-files")
+    W.write_star(spark, make_lines({}), folder)
+    with pytest.raises(ValueError, match="known money: 2"):
+        W.write_star(spark, make_lines({"profit": None}, {"menu_price": None}, {}), folder)
+    assert len(os.listdir(f"{folder}/versions")) == 1
+
+
+def test_stored_star_notices_cleared_scratch_and_new_tables(spark, tmp_path, monkeypatch):
+    loads = []
+    monkeypatch.setattr(R, "load_star", lambda spark, sf_dir: loads.append(sf_dir) or object())
+    monkeypatch.setattr(R, "_STARS", kept := {})
+    (tmp_path / "t.parquet").mkdir()
+    (tmp_path / "t.parquet/part-0.parquet").write_bytes(b"one")
+    first = R.stored_star(spark, str(tmp_path))
+    assert R.stored_star(spark, str(tmp_path)) is first and len(loads) == 1
+    (tmp_path / "t.parquet/part-1.parquet").write_bytes(b"more")
+    R.stored_star(spark, str(tmp_path))
+    assert len(loads) == 2 and len(kept) == 2
+    assert any(getattr(f, "__self__", None) is not None for f in session.ON_CLEAR)
+
+
 def test_location_comes_from_the_dimension(stored):
     _, star = stored
     frame = star.joined()

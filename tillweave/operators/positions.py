@@ -49,28 +49,33 @@ def number_rows(
     name: str,
     group: Sequence[str] = (),
     start: int = 0,
+    unique: bool = False,
 ) -> DataFrame:
     """Number rows `start, start+1, ...` in `order`, separately per `group`.
 
     A ranking window would send each group, or the whole table, to one task.
     Instead the rows are stored once, range-partitioned and sorted.  The last
     sort key is the row's file and place in it, so even identical rows spread
-    over partitions and a task that is run again gives the same order.  The
+    over partitions and a task that is run again gives the same order.  With
+    `unique` no two rows of a group are alike in `order`: no such key is needed,
+    and the rows are not stored before they are sorted.  The
     sorted rows are stored as well, because the numbering reads them twice and
     both passes must see the same partitions.  Each row's number is its place
     within its partition plus the rows of its group in earlier partitions.  The
     pass that counts those reads the group and the place only.
     """
     keys = list(group)
-    sort_keys = [*keys, *order, "_file", "_row"]
-    ordered = _stored(
-        _stored(df, "unsorted")
-        .select(
+    sort_keys = [*keys, *order]
+    placed = df
+    if not unique:
+        sort_keys += ["_file", "_row"]
+        placed = _stored(df, "unsorted").select(
             "*",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.row_index").alias("_row"),
         )
-        .repartitionByRange(*sort_keys)
+    ordered = _stored(
+        placed.repartitionByRange(*sort_keys)
         .sortWithinPartitions(*sort_keys)
         .drop("_file", "_row")
         .withColumn("_slot", F.monotonically_increasing_id()),

@@ -82,8 +82,12 @@ def project_values(lines: DataFrame, params: ScenarioParams) -> DataFrame:
 
 
 def new_customer_ids(lines: DataFrame, params: ScenarioParams, order: list[str]) -> DataFrame:
-    """Number the customers afresh, one per line, counting from zero in each chain."""
-    numbered = number_rows(lines, order, "_position", group=["chain"])
+    """Number the customers afresh, one per line, counting from zero in each chain.
+
+    An order that ends with the feed and the place in it tells all lines apart.
+    """
+    unique = set(S.BOOKKEEPING) <= set(order)
+    numbered = number_rows(lines, order, "_position", group=["chain"], unique=unique)
     prefix = F.coalesce(_by_chain(params.id_prefix, None).cast("string"), F.col("chain"))
     # Formatting pads short numbers and never cuts long ones.
     label = F.concat(prefix, F.format_string(f"%0{params.id_digits}d", F.col("_position")))

@@ -13,7 +13,7 @@ from tillweave.operators.scenario import project, project_values
 from tillweave.operators.star import Star
 from tillweave.plans.catalogue import CATALOGUE
 from tillweave.plans.report import ReportSpec, run_report
-from tillweave.session import scratch_path
+from tillweave.session import ON_CLEAR, folder_state, scratch_path
 from tillweave.sources import sample_tables as B
 from tillweave.sources.warehouse import write_star
 
@@ -35,7 +35,8 @@ def registered(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-_STARS: dict[tuple[str, str, bool], Star] = {}
+_STARS: dict[tuple, Star] = {}
+ON_CLEAR.append(_STARS.clear)
 
 
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -51,8 +52,11 @@ def load_projected_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def stored_star(spark: SparkSession, sf_dir: str, projected: bool = False) -> Star:
-    """The star of these tables, loaded by the application's first query that needs it."""
-    key = (spark.sparkContext.applicationId, sf_dir, projected)
+    """The star of these tables, loaded by the application's first query that needs it.
+
+    It is loaded anew once scratch data was cleared or a table in the folder was written anew.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, projected, folder_state(spark, sf_dir))
     if key not in _STARS:
         load = load_projected_star if projected else load_star
         _STARS[key] = load(spark, sf_dir)

@@ -239,7 +239,7 @@ _ROW_ORDER = ["feed_rank", "row_ordinal", "item_number", "restaurant_id", "quant
 def surrogate_key(spark, sf_dir):
     """Consecutive ids from one over the whole fact, in merge order."""
     lines = R.lines(spark, sf_dir, [*_NUMBERED, *S.BOOKKEEPING])
-    numbered = number_rows(lines, _ROW_ORDER, "id", start=1)
+    numbered = number_rows(lines, _ROW_ORDER, "id", start=1, unique=True)
     return R.iso_dates(numbered.select("id", *_NUMBERED))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +55,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Called when scratch data is removed, by whoever remembers frames that read it.
+ON_CLEAR: list[Callable[[], None]] = []
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system that Spark reads; none is fine."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application has stored.  Frames that still read it are then of no use."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for forget in ON_CLEAR:
+        forget()
+    remove_folder(spark, scratch_root(spark))
+
+
+def folder_state(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, time and bytes of each table in a folder, to notice that one was written anew."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(
+        (f.getPath().getName(), f.getModificationTime(), system.getContentSummary(f.getPath()).getLength())
+        for f in system.listStatus(path)
+    )

@@ -3,33 +3,46 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillweave import schema as S
 from tillweave.operators import star as D
 from tillweave.operators.star import Star
+from tillweave.session import remove_folder
 
 TABLES = ("orders", "restaurants", "products", "customers")
 
 
-_POINTER = "version string, loaded timestamp"
+_POINTER = "version string, loaded timestamp, metrics map<string, bigint>"
 
 
 def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
     """Load merged lines as a new version of the star and make it the current one.
 
     The lines are cast to the declared schema, computed and written once,
-    partitioned by chain, which the per-chain reports prune on.  The dimensions
-    are then read from the stored lines with only the columns each needs.  A
-    version that breaks the load contract is not made current; a failure midway
-    leaves the version before it in place.
+    partitioned by chain, which the per-chain reports prune on; they are dealt
+    out by chain first, large chains to several tasks, so a chain has a few
+    files of even size.  Rows, nulls by column and lines without known money are
+    counted while they are written.  The dimensions are then read from the
+    stored lines with only the columns each needs.  A version that breaks the
+    load contract is removed; a failure midway leaves the version before it in
+    place.
     """
     version = f"{folder}/versions/{uuid.uuid4().hex}"
     kept = [c for c in (*S.LINE_COLUMNS, *S.BOOKKEEPING) if c in lines.columns]
     typed = lines.select(*[F.col(c).cast(S.STORED_FIELDS[c]).alias(c) for c in kept])
-    typed.write.partitionBy("chain").parquet(f"{version}/orders")
+    seen = Observation("load")
+    typed.hint("rebalance", "chain").observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(_unknown_money(kept)).alias("unknown_money"),
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in kept],
+    ).write.partitionBy("chain").parquet(f"{version}/orders")
+    metrics = seen.get
     stored = _orders(spark, version)
     dimensions = {
         "restaurants": D.restaurant_dimension(stored),
@@ -38,14 +51,65 @@ def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
     }
     for name, df in dimensions.items():
         df.write.parquet(f"{version}/{name}")
-    broken = load_check(read_version(spark, version)).where("violations > 0").collect()
+    broken = _broken(read_version(spark, version), metrics)
     if broken:
-        raise ValueError("; ".join(f"{r.table_name} {r.rule}: {r.violations}" for r in broken))
-    pointer = spark.range(1).select(F.lit(version).alias("version"), F.now().alias("loaded"))
+        remove_folder(spark, version)
+        raise ValueError("; ".join(broken))
+    counts = F.create_map(*[F.lit(x) for pair in metrics.items() for x in pair])
+    pointer = spark.range(1).select(
+        F.lit(version).alias("version"),
+        F.now().alias("loaded"),
+        counts.cast("map<string, bigint>").alias("metrics"),
+    )
     pointer.coalesce(1).write.mode("append").parquet(f"{folder}/current")
     return read_version(spark, version)
 
 
+def _unknown_money(columns: Sequence[str]) -> Column:
+    return F.greatest(F.lit(False), *[F.col(c).isNull() for c in S.MONEY_COLUMNS if c in columns])
+
+
+def _broken(star: Star, metrics: Mapping[str, int]) -> list[str]:
+    """The rules of the load contract that a version breaks which was derived from its own lines.
+
+    Money was counted during the write.  A line whose keys are known has its
+    dimension rows, as those are the groups of these very lines, so only lines
+    of unknown keys have to be looked for.
+    """
+    said = []
+    if metrics["unknown_money"]:
+        said.append(f"orders known money: {metrics['unknown_money']}")
+    rules = [_unique_key(star, table) for table in S.TABLE_KEYS]
+    for table, keys in S.TABLE_KEYS.items():
+        if any(metrics[f"nulls_{k}"] for k in keys):
+            rules.append(_finds(star, table))
+    found = _together(rules).where("violations > 0").collect()
+    return said + [f"{r.table_name} {r.rule}: {r.violations}" for r in found]
+
+
+def load_log(spark: SparkSession, folder: str) -> DataFrame:
+    """What was counted at each load: (version, loaded, metric, value)."""
+    current = spark.read.schema(_POINTER).parquet(f"{folder}/current")
+    return current.select("version", "loaded", F.explode("metrics").alias("metric", "value"))
+
+
+def drop_old_versions(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
+    """Remove all versions but the ``keep`` loaded last; the folders removed.
+
+    The current version always stays, and so does a load that is still going on.
+    Frames that read a removed version are then of no use.
+    """
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    current = spark.read.schema(_POINTER).parquet(f"{folder}/current")
+    # One row per load.
+    versions = [r.version for r in current.orderBy(F.desc("loaded"), "version").collect()]
+    old = versions[keep:]
+    for version in old:
+        remove_folder(spark, version)
+    return old
+
+
 def _orders(spark: SparkSession, version: str) -> DataFrame:
     """The stored lines with location and row order, under the declared types."""
     found = spark.read.parquet(f"{version}/orders").columns
@@ -67,42 +131,49 @@ def read_star(spark: SparkSession, folder: str) -> Star:
     return read_version(spark, current.orderBy(F.desc("loaded")).first().version)
 
 
+def _rule(table: str, rule: str, violations: DataFrame) -> DataFrame:
+    return violations.select(
+        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
+    )
+
+
+def _together(rules: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), rules)
+
+
+def _unique_key(star: Star, table: str) -> DataFrame:
+    copies = getattr(star, table).groupBy(*S.TABLE_KEYS[table]).count()
+    return _rule(table, "unique key", copies.agg(F.count_if(F.col("count") > 1).alias("violations")))
+
+
+def _finds(star: Star, table: str) -> DataFrame:
+    """Lines without a row in a dimension; counted per key first, so the join sees keys and not lines."""
+    keys = S.TABLE_KEYS[table]
+    used = star.orders.groupBy(*keys).count()
+    known = getattr(star, table).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    match = F.lit(True)
+    for k in keys:
+        match = match & used[k].eqNullSafe(known[f"_{k}"])
+    lost = used.join(known, match, "left_anti")
+    total = lost.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations"))
+    return _rule("orders", f"finds its {table}", total)
+
+
 def load_check(star: Star) -> DataFrame:
     """Violations of the load contract: (table_name, rule, violations), one row per rule.
 
     Keys of the dimensions are unique, money is known, and every line finds its
-    dimension rows.  Each table is read once per rule that concerns it.
+    dimension rows.  Each table is read once per rule that concerns it; for
+    tables that came from elsewhere, as ``write_star`` knows most of this already.
     """
-    reports = []
-
-    def report(table: str, rule: str, violations: DataFrame) -> None:
-        reports.append(
-            violations.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
-        )
-
-    for table, keys in S.TABLE_KEYS.items():
-        copies = getattr(star, table).groupBy(*keys).count()
-        report(table, "unique key", copies.agg(F.count_if(F.col("count") > 1).alias("violations")))
-    money = [c for c in S.MONEY_COLUMNS if c in star.orders.columns]
-    unknown = F.count_if(F.greatest(F.lit(False), *[F.col(c).isNull() for c in money]))
-    report("orders", "known money", star.orders.agg(unknown.alias("violations")))
-    for table, keys in S.TABLE_KEYS.items():
-        # Counted per key first, so the join sees keys and not lines.
-        used = star.orders.groupBy(*keys).count()
-        known = getattr(star, table).select(*[F.col(k).alias(f"_{k}") for k in keys])
-        match = F.lit(True)
-        for k in keys:
-            match = match & used[k].eqNullSafe(known[f"_{k}"])
-        lost = used.join(known, match, "left_anti")
-        report(
-            "orders",
-            f"finds its {table}",
-            lost.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")),
-        )
-    result = reports[0]
-    for other in reports[1:]:
-        result = result.unionByName(other)
-    return result
+    unknown = star.orders.agg(F.count_if(_unknown_money(star.orders.columns)).alias("violations"))
+    return _together(
+        [
+            *[_unique_key(star, table) for table in S.TABLE_KEYS],
+            _rule("orders", "known money", unknown),
+            *[_finds(star, table) for table in S.TABLE_KEYS],
+        ]
+    )
 
 
 def star_counts(star: Star) -> DataFrame:
