@@ -81,12 +81,13 @@ def project_values(lines: DataFrame, params: ScenarioParams) -> DataFrame:
     return lines
 
 
-def new_customer_ids(lines: DataFrame, params: ScenarioParams, order: list[str]) -> DataFrame:
+def new_customer_ids(
+    lines: DataFrame, params: ScenarioParams, order: list[str], unique: bool = False
+) -> DataFrame:
     """Number the customers afresh, one per line, counting from zero in each chain.
 
-    An order that ends with the feed and the place in it tells all lines apart.
+    `unique` says that `order` tells all lines of a chain apart, see `number_rows`.
     """
-    unique = set(S.BOOKKEEPING) <= set(order)
     numbered = number_rows(lines, order, "_position", group=["chain"], unique=unique)
     prefix = F.coalesce(_by_chain(params.id_prefix, None).cast("string"), F.col("chain"))
     # Formatting pads short numbers and never cuts long ones.
@@ -94,9 +95,11 @@ def new_customer_ids(lines: DataFrame, params: ScenarioParams, order: list[str])
     return numbered.withColumn("customer_id", label).drop("_position").select(*lines.columns)
 
 
-def project(lines: DataFrame, params: ScenarioParams, order: list[str]) -> DataFrame:
+def project(
+    lines: DataFrame, params: ScenarioParams, order: list[str], unique: bool = False
+) -> DataFrame:
     """The full what-if dataset, same shape as its input."""
-    return new_customer_ids(project_values(lines, params), params, order)
+    return new_customer_ids(project_values(lines, params), params, order, unique)
 
 
 def verify(orders: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def load_projected_star(spark: SparkSession, sf_dir: str) -> Star:
     """The loaded lines, projected and loaded as a star of their own."""
-    projected = project(stored_star(spark, sf_dir).lines, B.SCENARIO, B.LINE_ORDER)
+    projected = project(stored_star(spark, sf_dir).lines, B.SCENARIO, B.LINE_ORDER, unique=True)
     return write_star(spark, projected, scratch_path(spark, "projected-star"))
 
 
