@@ -135,6 +135,18 @@ def test_load_is_counted_while_written(spark, make_lines):
     assert (log["nulls_gender"], log["nulls_customer_id"]) == (2, 0)
 
 
+def test_mixed_chains_are_dealt_out(spark, make_lines):
+    rows = [{"chain": f"c{i % 5}", "customer_id": f"u{i}"} for i in range(40)]
+    lines = make_lines(*rows).repartition(8)
+    counts = {}
+    for mixed in (False, True):
+        folder = scratch_path(spark, f"test-mixed-{mixed}")
+        star = W.write_star(spark, lines, folder, mixed_chains=mixed)
+        assert star.lines.count() == 40
+        counts[mixed] = len(star.lines.inputFiles())
+    assert counts[True] == 5 < counts[False]
+
+
 def test_old_versions_go_and_the_current_one_stays(spark, make_lines):
     folder = scratch_path(spark, "test-versions")
     for n in (1, 2, 3, 4):

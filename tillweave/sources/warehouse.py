@@ -20,14 +20,17 @@ TABLES = ("orders", "restaurants", "products", "customers")
 _POINTER = "version string, loaded timestamp, metrics map<string, bigint>"
 
 
-def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
+def write_star(
+    spark: SparkSession, lines: DataFrame, folder: str, mixed_chains: bool = False
+) -> Star:
     """Load merged lines as a new version of the star and make it the current one.
 
     The lines are cast to the declared schema, computed and written once,
-    partitioned by chain, which the per-chain reports prune on; they are dealt
-    out by chain first, large chains to several tasks, so a chain has a few
-    files of even size.  Rows, nulls by column and lines without known money are
-    counted while they are written.  The dimensions are then read from the
+    partitioned by chain, which the per-chain reports prune on.  Where each feed
+    is a chain, a task holds one chain and writes one file.  ``mixed_chains``
+    says that tasks hold many: the lines are then dealt out by chain first, large
+    chains to several tasks.  Rows, nulls by column and lines without known money
+    are counted while they are written.  The dimensions are then read from the
     stored lines with only the columns each needs.  A version that breaks the
     load contract is removed; a failure midway leaves the version before it in
     place.
@@ -36,7 +39,8 @@ def write_star(spark: SparkSession, lines: DataFrame, folder: str) -> Star:
     kept = [c for c in (*S.LINE_COLUMNS, *S.BOOKKEEPING) if c in lines.columns]
     typed = lines.select(*[F.col(c).cast(S.STORED_FIELDS[c]).alias(c) for c in kept])
     seen = Observation("load")
-    typed.hint("rebalance", "chain").observe(
+    dealt = typed.hint("rebalance", "chain") if mixed_chains else typed
+    dealt.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(_unknown_money(kept)).alias("unknown_money"),
