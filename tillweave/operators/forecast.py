@@ -87,11 +87,10 @@ def _solved(rows: Column, penalties: list[float]) -> Column:
     The matrix is positive definite, so any order of pivots will do.
     """
     size = len(penalties)
-    start = F.array(
-        *[
-            F.array(*[F.lit(p if i == j else 0.0) for j in range(size + 1)])
-            for i, p in enumerate(penalties)
-        ]
+    columns = F.sequence(F.lit(0), F.lit(size))
+    start = F.transform(
+        F.lit(penalties),
+        lambda p, i: F.transform(columns, lambda j: F.when(i == j, p).otherwise(0.0)),
     )
 
     def added(held: Column, row: Column) -> Column:
