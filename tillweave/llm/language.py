@@ -10,7 +10,7 @@ nearest centroid, and is rejected if it is further from it than nearly all texts
 of that language are.
 
 Document frequencies are counted over every labelled text.  The sample that the
-centroids are fitted on has at most ``PER_LANGUAGE`` texts of a language.
+centroids are fitted on has about ``PER_LANGUAGE`` texts of a language.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from tillweave.llm.tables import id_remainder, stored
 #: Buckets that runs of signs are hashed into.
 DIMS = 8192
 LONGEST_RUN = 3
-#: Texts of a language, at most, that its centroids are fitted on.
+#: Texts of a language, give or take the chance of a hash, that its centroids are fitted on.
 PER_LANGUAGE = 1500
 CENTROIDS = 4
 ROUNDS = 12
