@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-
+import random
+import re
 
 import numpy as np
 import pytest
@@ -163,6 +164,90 @@ def test_replies_are_ordered(spark):
     assert quotations.reply_ordered(frame.limit(0)).collect() == []
 
 
+def test_quotes_of_short_sentences_and_of_the_next_conversation(spark):
+    chat = [
+        (1, 0, "a", "Sounds good. We shall meet at five."),
+        (1, 1, "b", "> Sounds good.\nYes. The hall is open until late tonight."),
+        (1, 2, "a", "> The garden gate is closed today.\nThe garden gate is closed today."),
+        (2, 0, "a", "The garden gate is closed today."),
+        (2, 1, "a", "> Sounds good.\nOh."),
+        (2, 2, "a", "> Yes. The hall is open until late tonight.\nFine."),
+        (3, 0, "a", "> Oh.\nShort but whole."),
+        (3, 1, "a", "Yes."),
+        (3, 2, "a", "> Yes. The hall is open until late tonight.\nFine."),
+    ]
+    frame = spark.createDataFrame(chat, "conv_id bigint, turn bigint, role string, text string")
+    links = {(r.conv_id, r.turn): (r.from_conv, r.from_turn) for r in quotations.quote_links(frame).collect()}
+    assert links == {
+        (1, 1): (1, 0), (1, 2): (2, 0), (2, 1): (None, None), (2, 2): (1, 1), (3, 0): (2, 1), (3, 2): (1, 1),
+    }
+
+
+def _passages(text):
+    """(level, passage) of a message without attributions, level 0 its own; by another way than the operator."""
+    runs, last = [], None
+    for line in (text or "").split("\n"):
+        level = len(re.match(r"[> \t]*", line).group().replace(" ", "").replace("\t", ""))
+        body = line.lstrip("> \t").strip()
+        if not body:
+            last = None
+        elif last == level:
+            runs[-1][1].append(body)
+        else:
+            runs.append((level, [body]))
+            last = level
+    return [(level, " ".join(" ".join(lines).lower().split())) for level, lines in runs]
+
+
+def _links(rows):
+    """Where each quote comes from, every message asked in turn."""
+    def sentences(passage):
+        return re.split(r"(?<=[.!?]) ", passage)
+
+    own = [(c, t, [p for level, p in _passages(text) if not level]) for c, t, text in rows]
+    found = {}
+    for conv, turn, text in rows:
+        for place, (level, passage) in enumerate(q for q in _passages(text) if q[0]):
+            long = [s for s in sentences(passage) if len(s.split()) >= 4]
+            short = [s for s in sentences(passage) if len(s.split()) < 4]
+            origin = (None, None)
+            for part in [passage, *long, *short]:
+                wide = part == passage or part in long
+                here = [t for c, t, ps in own if c == conv and t is not None
+                        and any(part == p or part in sentences(p) for p in ps)]
+                there = [(c, t) for c, t, ps in own if c not in (conv, None) and t is not None
+                         and any(part == p or (part in sentences(p) and len(part.split()) >= 4) for p in ps)]
+                if here and min(here) < turn:
+                    origin = (conv, min(here))
+                elif wide and there:
+                    origin = min(there)
+                if origin[1] is not None:
+                    break
+            found[conv, turn, place] = (level, *origin)
+    return found
+
+
+def test_links_against_brute_force(spark):
+    rng = random.Random(11)
+    said = ["Yes.", "I see.", "We met in the park.", "The train was late again today.", "Who knows?", "It rained all day long."]
+    rows = []
+    for conv in range(12):
+        for turn in range(6):
+            lines = []
+            for _ in range(rng.randrange(1, 4)):
+                text = " ".join(rng.sample(said, rng.randrange(1, 4)))
+                lines.append("> " * rng.randrange(3) + (text if rng.random() < 0.7 else f"{text} {conv % 4}"))
+                lines += [""] * rng.randrange(2)
+            rows.append((conv, turn, "\n".join(lines)))
+    frame = spark.createDataFrame([(c, t, "a", x) for c, t, x in rows], "conv_id bigint, turn bigint, role string, text string")
+    got = {
+        (r.conv_id, r.turn, r.place): (r.level, r.from_conv, r.from_turn)
+        for r in quotations.quote_links(frame).collect()
+    }
+    want = _links(rows)
+    assert got == want and sum(v[1] is not None for v in want.values()) > 20
+
+
 def test_long_threads_double_their_way_up(spark):
     chain = [(7, 0, "a", "message number 0")] + [
         (7, i, "a", f"> message number {i - 1}\nmessage number {i}") for i in range(1, 40)

@@ -15,14 +15,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillweave.llm import words as W
 from tillweave.llm.tables import stored
 from tillweave.operators.positions import number_rows
 
-#: Sentences of so many words and more are looked up where a whole passage is not found.
+#: Sentences of so many words and more are looked up in all conversations where a whole
+#: passage is not found; shorter ones tell little and are looked up in their own only.
 SENTENCE_WORDS = 4
 
 _MARKS = re.compile(r"[ \t]*(?:>[ \t]?)+")
@@ -80,32 +81,43 @@ def parsed(text: str | None) -> Message:
     return message
 
 
-def sentences(passage: str) -> list[str]:
-    """Sentences long enough to tell, if there are several."""
-    parts = _SENTENCE_END.split(passage)
-    return [p for p in parts if len(parts) > 1 and len(p.split(" ")) >= SENTENCE_WORDS]
+def parts_of(passage: str) -> dict[str, bool]:
+    """The passage and, if there are several, its sentences; whether each is sought everywhere."""
+    found = {passage: True}
+    for sentence in _SENTENCE_END.split(passage):
+        found.setdefault(sentence, len(sentence.split(" ")) >= SENTENCE_WORDS)
+    return found
 
 
+_KEYS = "array<struct<key:binary,wide:boolean>>"
 _PARSED = (
     "conv_id bigint, turn bigint, role string, own_text string, levels int,"
-    " own array<binary>, quoted array<struct<level:int,keys:array<binary>>>"
+    f" own {_KEYS}, quoted array<struct<level:int,keys:{_KEYS}>>"
 )
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from xxhash import xxh128_digest
 
-    def key(passage: str) -> bytes:
-        return xxh128_digest(passage.encode("utf-8", "surrogatepass"), 42)
+    def keys(parts: dict[str, bool]) -> list[dict]:
+        return [
+            {"key": xxh128_digest(part.encode("utf-8", "surrogatepass"), 42), "wide": wide}
+            for part, wide in parts.items()
+        ]
 
-    quoted_type = pa.list_(pa.struct([("level", pa.int32()), ("keys", pa.list_(pa.binary()))]))
+    keys_type = pa.list_(pa.struct([("key", pa.binary()), ("wide", pa.bool_())]))
+    quoted_type = pa.list_(pa.struct([("level", pa.int32()), ("keys", keys_type)]))
     for batch in W.gathered(batches):
         messages = [parsed(t) for t in batch.column(3).to_pylist()]
-        own = [
-            list({key(x): None for p in m.own for x in (p, *sentences(p))}) for m in messages
-        ]
+        own = []
+        for message in messages:
+            written: dict[str, bool] = {}
+            for passage in message.own:
+                for part, wide in parts_of(passage).items():
+                    written[part] = wide or written.get(part, False)
+            own.append(keys(written))
         quoted = [
-            [{"level": lv, "keys": [key(x) for x in (p, *sentences(p))]} for lv, p in m.quoted]
+            [{"level": level, "keys": keys(parts_of(p))} for level, p in m.quoted]
             for m in messages
         ]
         yield pa.RecordBatch.from_arrays(
@@ -115,7 +127,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column(2),
                 pa.array([m.own_text for m in messages], pa.string()),
                 pa.array([max((lv for lv, _ in m.quoted), default=0) for m in messages], pa.int32()),
-                pa.array(own, pa.list_(pa.binary())),
+                pa.array(own, keys_type),
                 pa.array(quoted, quoted_type),
             ],
             names=["conv_id", "turn", "role", "own_text", "levels", "own", "quoted"],
@@ -126,47 +138,68 @@ def _origins(messages: DataFrame) -> DataFrame:
     """Per quoted passage (conv_id, turn, place, level): from_conv and from_turn, null if unknown.
 
     A passage is taken to come from the first message of its conversation that
-    wrote it, if that is an earlier one, and else from the first of all others.
-    A whole passage goes before its sentences, an earlier sentence before a later.
+    wrote it, if that is an earlier one, and else from the first message of the
+    least other conversation that did.  The whole passage goes before its
+    sentences, those of ``SENTENCE_WORDS`` before shorter ones, an earlier one
+    before a later.  Short sentences count only within the conversation.
     """
     quoted = messages.select(
         "conv_id", "turn", F.posexplode("quoted").alias("place", "quote")
     ).select("conv_id", "turn", "place", F.col("quote.level").alias("level"), "quote.keys")
+    parts = quoted.select(
+        "conv_id", "turn", "place", "level", F.posexplode("keys").alias("part", "sought")
+    )
     keys = stored(
-        quoted.select(
-            "conv_id", "turn", "place", "level", F.posexplode("keys").alias("part", "key")
-        ).distinct(),
+        parts.select("conv_id", "turn", "place", "level", "part", "sought.key", "sought.wide").distinct(),
         "quotes",
     )
     # Only what somebody quotes is looked for, and each message's first place of it kept.
-    written = messages.select("conv_id", "turn", F.explode("own").alias("key")).where(
-        "conv_id IS NOT NULL AND turn IS NOT NULL"
+    written = (
+        messages.select("conv_id", "turn", F.explode("own").alias("part"))
+        .select("conv_id", "turn", "part.key", "part.wide")
+        .where("conv_id IS NOT NULL AND turn IS NOT NULL")
     )
     sought = written.join(keys.select("key").distinct(), "key", "left_semi")
     by_conversation = stored(
-        sought.groupBy("key", "conv_id").agg(F.min("turn").alias("first_turn")), "written"
+        sought.groupBy("key", "conv_id").agg(
+            F.min("turn").alias("first_turn"),
+            F.min(F.when(F.col("wide"), F.col("turn"))).alias("wide_turn"),
+        ),
+        "written",
+    )
+    # The two least conversations of a key, cut to two a task before the shuffle:
+    # one of them is not the quoting one.
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))
+    place = F.struct(F.col("conv_id").alias("from_conv"), F.col("wide_turn").alias("from_turn"))
+    least = (
+        by_conversation.where("wide_turn IS NOT NULL")
+        .withColumn("_rank", rank)
+        .where("_rank <= 2")
+        .groupBy("key")
+        .agg(F.min(place).alias("least"), F.max(place).alias("next"))
     )
-    place = F.struct(F.col("conv_id").alias("from_conv"), F.col("first_turn").alias("from_turn"))
-    overall = by_conversation.groupBy("key").agg(F.min(place).alias("elsewhere"))
     here = by_conversation.select(
         "key", F.col("conv_id").alias("_conv"), F.col("first_turn").alias("_turn")
     )
     matched = (
         keys.join(here, (keys["key"] == here["key"]) & (keys["conv_id"] == here["_conv"]), "left")
         .drop(here["key"])
-        .join(overall, "key", "left")
+        .join(least, "key", "left")
     )
     inside = F.when(
         F.col("_turn") < F.col("turn"),
         F.struct(F.col("_conv").alias("from_conv"), F.col("_turn").alias("from_turn")),
     )
-    other = F.when(
-        ~F.col("elsewhere.from_conv").eqNullSafe(F.col("conv_id")), F.col("elsewhere")
-    )
-    found = matched.withColumn("origin", F.coalesce(inside, other))
+
+    def other(place: str) -> Column:
+        own = F.col(f"{place}.from_conv").eqNullSafe(F.col("conv_id"))
+        return F.when(F.col("wide") & ~own, F.col(place))
+
+    found = matched.withColumn("origin", F.coalesce(inside, other("least"), other("next")))
+    ranked = F.struct((~F.col("wide")).alias("short"), "part", "origin")
     return (
         found.groupBy("conv_id", "turn", "place", "level")
-        .agg(F.min(F.when(F.col("origin").isNotNull(), F.struct("part", "origin"))).alias("best"))
+        .agg(F.min(F.when(F.col("origin").isNotNull(), ranked)).alias("best"))
         .select(
             "conv_id",
             "turn",
