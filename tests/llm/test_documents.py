@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -281,6 +282,89 @@ def test_matching_statistics_and_spans(spark):
     assert row.labels == "mit" and row.spans[0].first_word == 1 and 0.8 <= row.score <= 1
 
 
+def _scan(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in licence_automaton.scanned(docs).collect()}
+    return [rows[i] for i in range(len(texts))]
+
+
+def test_every_notice_of_a_text_is_found(spark):
+    notice = licence_automaton.TEMPLATES["apache-2.0-notice"]
+    again = " the license you may"
+    broken = notice.replace(" the license you may obtain", " foreign the license you may foreign obtain")
+    isc = licence_automaton.TEMPLATES["isc"]
+    twice, far, partly, parted = _scan(
+        spark, f"{isc} {isc}", f"{isc} {'x ' * 50}{isc}", broken, f"{isc} and {isc.replace('modify', 'foo')}"
+    )
+    assert notice.count(again) == 2
+    for row in (twice, far, parted):
+        assert row.labels == "isc" and [s.label for s in row.spans] == ["isc"] * 2
+    size = len(words(isc))
+    assert [(s.first_word, s.end_word, s.cover) for s in twice.spans] == [(0, size, 1.0), (size, 2 * size, 1.0)]
+    assert far.spans[1].first_word == size + 50
+    assert "apache-2.0-notice" in partly.labels and partly.score == 1.0
+    assert [s.cover for s in partly.spans if s.label == "apache-2.0-notice"] == [1.0]
+
+
+def test_licences_by_name_and_kin(spark):
+    texts = [
+        "SPDX-License-Identifier: MIT", "# SPDX-License-Identifier: MIT-0", "SPDX-License-Identifier: GPL-2.0-or-later x",
+        "Licensed under the BSD 3-Clause License.", "Licensed under the MIT and Apache License, Version 2.0",
+        licence_automaton.TEMPLATES["lgpl-notice"], "an spdx license, identifier unknown", "the license of the house",
+    ]
+    got = [r.labels for r in _scan(spark, *texts)]
+    assert got == ["mit", "mit-0", "gpl-2.0-or-later", "bsd-3-clause", "apache-2.0", "gpl,lgpl-notice", "", ""]
+    assert [r.n_base for r in _scan(spark, *texts)] == [0, 0, 0, 0, 0, 1, 0, 0]
+
+
+def _chain_cover(chain, max_gap):
+    """Words that matches in this order cover; None where one cannot follow the other."""
+    covered, last = 0, None
+    for start, end, place in chain:
+        skip = 0
+        if last is not None:
+            if start - last[1] > max_gap:
+                return None
+            skip = max(0, last[1] - start, last[2] + last[1] - last[0] - place)
+            if skip >= end - start:
+                return None
+        covered, last = covered + end - start - skip, (start, end, place)
+    return covered
+
+
+def test_chains_and_spans_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(150):
+        matches = []
+        for _ in range(rng.randrange(1, 7)):
+            start, size = rng.randrange(20), rng.randrange(1, 6)
+            matches.append((start, start + size, rng.randrange(10)))
+        best: dict = {}
+        subsets = [c for n in range(1, len(matches) + 1) for c in itertools.permutations(set(matches), n)]
+        for chain in subsets:
+            covered = _chain_cover(chain, 3)
+            if covered is not None:
+                key = (chain[0][0], chain[-1][1])
+                best[key] = max(best.get(key, 0), covered)
+        got: dict = {}
+        for first, end, covered in licence_automaton.chains_of(matches, 3):
+            got[first, end] = max(got.get((first, end), 0), covered)
+        assert all(got[k] <= best[k] for k in got)
+        # What is left out is matched by a chain that begins later, ends alike and covers as much.
+        for (first, end), covered in best.items():
+            assert max(c for (a, b), c in got.items() if b == end and a >= first) >= covered
+        chains = [(a, b, c) for (a, b), c in got.items()]
+        picked = licence_automaton.apart(chains)
+        assert all(x[1] <= y[0] for x, y in zip(picked, picked[1:])) and set(picked) <= set(chains)
+        most = max(
+            sum(c[2] for c in some)
+            for n in range(len(chains[:9]) + 1)
+            for some in itertools.combinations(chains[:9], n)
+            if all(x[1] <= y[0] or y[1] <= x[0] for x, y in itertools.combinations(some, 2))
+        )
+        assert sum(c[2] for c in licence_automaton.apart(chains[:9])) == most
+
+
 # --- language model --------------------------------------------------------------------------
 
 
