@@ -333,10 +333,16 @@ def one_per_group(docs: DataFrame, distance: int = DISTANCE, segments=SEGMENTS)
     """The rows of ``docs`` that stay, columns as given: one of each group.
 
     It is the row with the least doc_id, null last; of rows that share that id
-    the one with the least hash over all columns, of identical rows one.
+    the one with the least hash over all columns, of identical rows one.  Columns
+    that hold maps are hashed as JSON.
     """
     columns = docs.columns
-    mark = F.xxhash64(*[docs[c] for c in columns])
+    mark = F.xxhash64(
+        *[
+            F.to_json(F.struct(docs[f.name])) if "map<" in f.dataType.simpleString() else docs[f.name]
+            for f in docs.schema
+        ]
+    )
     rows = stored(
         fingerprinted(docs.select("doc_id", "text", mark.alias("mark"))), "fingerprints"
     )
@@ -360,4 +366,9 @@ def one_per_group(docs: DataFrame, distance: int = DISTANCE, segments=SEGMENTS)
         "left_semi",
     )
     repeated = copies.groupBy("doc_id", "mark").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates()
+    if repeated.isEmpty():
+        return kept
+    name = "_mark"
+    while name in columns:
+        name += "_"
+    return kept.withColumn(name, mark).dropDuplicates(["doc_id", name]).drop(name)
