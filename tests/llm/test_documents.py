@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import components, odd_docs, tokens, words
 from tillweave.llm import anchors, decontamination, language_model, licence_automaton
 from tillweave.llm import token_files, toxicity
+from tillweave.llm import words as W
 from tillweave.llm.lattice import (
     SPACE,
     Lattices,
@@ -161,6 +163,14 @@ def test_one_row_of_each_group_stays(spark):
     assert anchors.one_per_group(docs.limit(0)).collect() == []
 
 
+def test_rows_with_maps_are_compared_too(spark):
+    rows = [(1, "one text of four words", {"a": 1}), (1, "one text of four words", {"a": 1})]
+    rows += [(1, "one text of four words", {"a": 2}), (2, "quite another matter, and longer", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _mark map<string,int>")
+    kept = anchors.one_per_group(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
 @pytest.mark.parametrize("held", [64, 1 << 15])
 def test_links_of_dense_and_random_prints(spark, monkeypatch, held):
     monkeypatch.setattr(anchors, "HELD", held)
@@ -522,6 +532,59 @@ def test_misspellings_of_inflected_and_accented_terms_are_found(spark):
     assert [got[i] for i in range(14)] == [True] * 12 + [False] * 2
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_a_lexicon_of_many_terms_and_its_misspellings(spark):
+    rng = random.Random(9)
+    heads = ["".join(p) for p in itertools.product("bdfgk", "aeiou", "lmnprstvz")]
+    insults = [h + "".join(rng.choices("qwxyj", k=rng.randrange(3, 9))) for h in heads]
+    insults += [h.upper().lower() + "ßß" for h in ("ö", "üb")] + ["zz" * 22]
+    insults += [f"{c}{h}" for c in "hc" for h in heads]
+    rare = insults * 8
+    rng.shuffle(rare)
+    texts = []
+    fitted = [i for i in range(8000) if zlib.crc32(str(i).encode()) % 4 != 2][:3000]
+    for number, doc_id in enumerate(fitted):
+        own = ["".join(rng.choices("abcdeo", k=7)) for _ in range(40)]
+        if number * 5 < len(rare):
+            for term in rare[number * 5 : number * 5 + 5]:
+                own.insert(rng.randrange(len(own)), term)
+        texts.append((doc_id, " ".join(own), int(number * 5 < len(rare)), "x", 1))
+    schema = "doc_id bigint, text string, toxic int, labelled string, first int"
+    rows = spark.createDataFrame(texts, schema)
+    model = toxicity.trained(rows, rows.select("doc_id", "toxic"))
+    found = [i for i in insults if model.match(i.encode(), False)]
+    assert len(model.terms) > 300 and len(found) > 0.95 * len(insults)
+    assert "öß" not in model.terms and model.match("zz".encode() * 22, False)
+    spelt = []
+    for _ in range(400):
+        word = list(rng.choice(list(model.spelled)))
+        for _ in range(rng.randrange(4)):
+            place = rng.randrange(len(word))
+            word[place : place + rng.randrange(2)] = rng.choices("abqwß1", k=rng.randrange(2))
+            word = word or ["q"]
+        spelt.append("".join(word))
+    text = W.words(pa.array([" ".join(spelt)]), W.PLAIN)
+    got = model.matches(text)
+    for place, word in enumerate(text.dictionary.to_pylist()):
+        name = word.decode()
+        if model.match(word, False) or name in model.ordinary:
+            continue
+        near = [
+            (d, t) for t in model.spelled if (d := _edits(name, t)) <= toxicity._allowed(t)
+        ]
+        want = (model.spelled[min(near)[1]], min(near)[0]) if near else None
+        assert got.get(place) == want
+
+
 def test_each_term_has_its_own_allowance():
     # The shorter term is as near, but too short for two edits.
     model = toxicity.Model({"bbcde": 3.0, "bbcdefghi": 4.0}, (-5.0, 0.9, 0.0))

@@ -30,9 +30,6 @@ from tillweave.llm.tables import id_remainder, stored
 
 #: Labelled documents that lexicon and curve are fitted on, at most.
 FIT_ROWS = 20_000
-#: Terms looked at when the lexicon is picked, and terms picked, at most.
-CANDIDATES = 3000
-LEXICON = 300
 #: A term must be held by so many toxic documents, and so much rather by them (logarithm of odds).
 MIN_SUPPORT = 6
 #: Documents count once where so many words before or after a term are the same: a passage they share.
@@ -232,8 +229,7 @@ def _terms_of(text: W.Words) -> Iterator[set[str]]:
     """Per text the words and stems that could become terms."""
     names = [w.decode("utf-8") for w in text.dictionary.to_pylist()]
     known = [
-        {n, *(n[:k] + "*" for k in STEM_SIGNS if len(n) > k)} if 3 <= len(n) <= 40 else set()
-        for n in names
+        {n, *(n[:k] + "*" for k in STEM_SIGNS if len(n) > k)} for n in names
     ]
     for first, last in zip(text.first[:-1], text.first[1:]):
         held: set[str] = set()
@@ -263,10 +259,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _related(term: str, other: str) -> bool:
-    """One is a stem of the other."""
-    a, b = term.rstrip("*"), other.rstrip("*")
-    return (term.endswith("*") and b.startswith(a)) or (other.endswith("*") and a.startswith(b))
+def _stems_of(term: str) -> list[str]:
+    """Stems that ``term`` would count under; one that is a stem is its own."""
+    letters = term.rstrip("*")
+    return [letters[:k] + "*" for k in STEM_SIGNS if len(letters) >= k]
 
 
 def _sides(text: W.Words, place: int, doc: int, hashes: list[int]) -> tuple[int | None, int | None]:
@@ -292,10 +288,9 @@ def _held_terms(
         # Python's hash of bytes differs between processes, that of whole numbers does not.
         hashes.append(int.from_bytes(hashlib.blake2b(word, digest_size=7).digest()))
         name = word.decode("utf-8")
-        if 3 <= len(name) <= 40:
-            forms = [name, *(name[:k] + "*" for k in STEM_SIGNS if len(name) > k)]
-            if known := [f for f in forms if f in candidates]:
-                terms[code] = known
+        forms = [name, *(name[:k] + "*" for k in STEM_SIGNS if len(name) > k)]
+        if known := [f for f in forms if f in candidates]:
+            terms[code] = known
     flagged = np.zeros(len(text.dictionary), bool)
     flagged[list(terms)] = True
     for doc, label in enumerate(toxic):
@@ -338,17 +333,20 @@ def _picked(
         candidates, key=lambda t: (-len(apart[t]) * candidates[t], -len(t.rstrip("*")), t)
     )
     chosen: dict[str, float] = {}
+    # Chosen terms by the stems they begin with.
+    beginning: dict[str, list[str]] = {}
     for term in order:
         explained: set[int] = set()
-        for other in chosen:
-            if _related(term, other):
-                explained |= holders[other]
+        stems = _stems_of(term)
+        # One of two related terms is a stem of the other.
+        for other in {*(s for s in stems if s in chosen), *beginning.get(term, [])}:
+            explained |= holders[other]
         support = len(apart[term] - explained)
         odds = math.log((support + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[term] + 0.5))
         if support >= MIN_SUPPORT and odds >= MIN_ODDS and support * odds >= MIN_GAIN:
             chosen[term] = odds
-            if len(chosen) == LEXICON:
-                break
+            for stem in stems:
+                beginning.setdefault(stem, []).append(term)
     return chosen
 
 
@@ -404,7 +402,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # At most FIT_ROWS rows of nine bytes.
     first = F.min(F.struct(F.col("text").isNull().alias("none"), F.xxhash64("text").alias("hash"), "text"))
     joined = (
-        docs.join(F.broadcast(picked), docs["doc_id"] == F.col("labelled"))
+        docs.select("doc_id", "text")
+        .join(F.broadcast(picked), F.col("doc_id") == F.col("labelled"))
         .groupBy("labelled", "toxic")
         .agg(first.alias("first"))
         .select("first.text", "toxic")
@@ -452,15 +451,15 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     odds = F.log(
         ((F.col("toxic") + 0.5) / (totals.toxic + 1)) / ((F.col("clean") + 0.5) / (totals.clean + 1))
     )
+    # A term explains at most what it is counted for, so the rest cannot be picked.
+    worth = F.col("toxic") * odds
     best = (
         sample.select("text", "toxic")
         .mapInArrow(_counted, "term string, toxic bigint, clean bigint")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= MIN_SUPPORT) & (odds >= MIN_ODDS))
-        .select("term", odds.alias("odds"), (F.col("toxic") * odds).alias("gain"))
-        .orderBy(F.desc("gain"), "term")
-        .limit(CANDIDATES)
+        .where((F.col("toxic") >= MIN_SUPPORT) & (odds >= MIN_ODDS) & (worth >= MIN_GAIN - 1e-6))
+        .select("term", odds.alias("odds"))
         .collect()
     )
     candidates = {r.term: r.odds for r in best}
