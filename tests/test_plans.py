@@ -57,7 +57,17 @@ def test_plan_holds_at_any_size(spark, sf_dir, no_broadcast, name):
     assert scans_of_lines(plan) <= SCANS.get(name, 2 if name in PER_FEED else 1)
 
 
-LOCATED = sorted(n for n in QUERIES if re.search(r"state|fact_sheet|qa_insight|sql_surface|join_orders", n))
+LOCATED = sorted(
+    n
+    for n in QUERIES
+    if re.search(r"state|fact_sheet|qa_insight|sql_surface|join_orders", n) and not n.startswith("cube_")
+)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("cube_")))
+def test_cubes_spare_the_lines(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert scans_of_lines(plan) == 0 and re.search(r"FileScan parquet[^\n]*/cube-", plan)
 
 
 @pytest.mark.parametrize("name", LOCATED)

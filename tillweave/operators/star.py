@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillweave import schema as S
+from tillweave.operators.cube import Cube
 
 
 def first_row_per_key(
@@ -96,6 +97,8 @@ class Star:
     customers: DataFrame | None = None
     #: Stored order lines with location and row order, where the star was loaded from storage.
     lines: DataFrame | None = None
+    #: Stored cubes of the fact, which reports are answered from where they can be.
+    cubes: tuple[Cube, ...] = ()
 
     @classmethod
     def from_lines(cls, lines: DataFrame) -> Star:

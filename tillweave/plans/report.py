@@ -7,6 +7,9 @@ restaurant id, ...) and only then join or regroup.  The join therefore sees
 aggregated rows, not the order lines, and a hot restaurant has already been
 combined on the map side.  Reports that count distinct orders by location are
 the exception: there the first aggregation would not shrink anything.
+
+A star may bring cubes.  A report whose keys, filters and measures one of them
+holds is answered from its cells and sets, with the same rows and no line read.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from pyspark.sql import types as T
 
 from tillweave import schema as S
 from tillweave.functions import numbers as N
+from tillweave.operators.cube import Cube
+from tillweave.operators.distinct_sets import count_members
 from tillweave.operators.filters import keep_known, keep_selected
 from tillweave.operators.star import Star
 
@@ -180,6 +185,81 @@ def _two_step(lines: DataFrame, spec: ReportSpec, places: DataFrame | None) -> D
     return grouped.groupBy(*spec.dims).agg(*carried, *final)
 
 
+def _answering(
+    spec: ReportSpec, star: Star, selection: Mapping[str, Sequence]
+) -> Cube | None:
+    """The star's first cube that holds all the report asks for."""
+    used = {*spec.dims, *spec.not_null, *(c for c, _ in spec.only), *(c for _, c in spec.carry)}
+    used |= {c for c, chosen in selection.items() if chosen}
+    for cube in star.cubes:
+        known = set(cube.keys)
+        if "restaurant_id" in known and star.restaurants is not None:
+            known |= set(S.LOCATION_COLUMNS) & set(spec.dims)
+        counted = {m.column for m in spec.measures if m.kind == DISTINCT}
+        summed = {m.column for m in spec.measures if m.kind not in (DISTINCT, COUNT)}
+        if (
+            used <= known
+            and summed <= set(cube.types)
+            and counted <= set(cube.keys) | set(cube.sets)
+        ):
+            return cube
+    return None
+
+
+def _from_cube(
+    spec: ReportSpec, cube: Cube, star: Star, selection: Mapping[str, Sequence]
+) -> DataFrame:
+    """The report from a cube's cells and sets.
+
+    Totals and distinct counts meet in a union, not a join, as most of them are
+    a row or a few: each part brings its own columns and the last grouping
+    takes what is known.
+    """
+    wanted = [d for d in spec.dims if d in S.LOCATION_COLUMNS]
+    near = [d for d in spec.dims if d not in wanted]
+
+    def narrowed(part: DataFrame) -> DataFrame:
+        part = keep_known(keep_selected(part, selection), spec.not_null)
+        for column, value in spec.only:
+            part = part.where(F.col(column) == F.lit(value))
+        if not spec.keep_null_keys:
+            part = keep_known(part, near)
+        if wanted:
+            part = part.join(star.restaurants.select("restaurant_id", *wanted), "restaurant_id")
+            if not spec.keep_null_keys:
+                part = keep_known(part, wanted)
+        return part
+
+    cells = narrowed(cube.cells)
+    read, final, counts = {"rows"}, [], []
+    for i, m in enumerate(spec.measures):
+        dtype, rows = cube.types.get(m.column), None
+        if m.kind == COUNT:
+            total = F.coalesce(F.sum("rows"), F.lit(0))
+        elif m.kind == DISTINCT:
+            name = f"_d{i}"
+            total = F.coalesce(F.sum(name), F.lit(0))
+            if m.column in cube.keys:
+                values = cells.select(*spec.dims, F.col(m.column).alias("_value")).distinct()
+                counts.append(values.groupBy(*spec.dims).agg(F.count("_value").alias(name)))
+            else:
+                counts.append(count_members(narrowed(cube.sets[m.column]), spec.dims, name))
+        else:
+            merge, kept = {MIN: (F.min, "min"), MAX: (F.max, "max")}.get(m.kind, (F.sum, "sum"))
+            total = merge(f"{kept}_{m.column}")
+            read.add(f"{kept}_{m.column}")
+            if m.kind == AVG:
+                rows = F.sum(f"n_{m.column}")
+                read.add(f"n_{m.column}")
+        final.append(_output(m, dtype, total, rows).alias(m.name))
+    carried = [F.min(column).alias(name) for name, column in spec.carry]
+    shown = list(dict.fromkeys([*spec.dims, *(c for _, c in spec.carry)]))
+    parts = cells.select(*shown, *sorted(read))
+    for count in counts:
+        parts = parts.unionByName(count, allowMissingColumns=True)
+    return parts.groupBy(*spec.dims).agg(*carried, *final)
+
+
 def ordering(order: Sequence[str], dims: Sequence[str]) -> list[Column]:
     """Sort columns (`-name` descending), ties broken by the group keys ascending."""
     named = [F.desc(o[1:]) if o.startswith("-") else F.asc(o) for o in order]
@@ -198,8 +278,27 @@ def run_report(
 
     Distinct counts are exact.  A relative error in `approx_distinct` trades
     that for a sketch, which spares the extra rows that several exact distinct
-    counts cost; restaurants by location are always counted exactly.
+    counts cost; restaurants by location are always counted exactly.  A cube of
+    the star that can answer the report is read in place of its lines.
     """
+    cube = _answering(spec, star, selection or {}) if approx_distinct is None else None
+    if cube is not None:
+        result = _from_cube(spec, cube, star, selection or {})
+    else:
+        result = _from_lines(spec, star, selection, approx_distinct)
+
+    n = limit if limit is not None else spec.limit
+    if spec.order:
+        result = result.orderBy(*ordering(spec.order, spec.dims))
+    return result if n is None else result.limit(n)
+
+
+def _from_lines(
+    spec: ReportSpec,
+    star: Star,
+    selection: Mapping[str, Sequence] | None,
+    approx_distinct: float | None,
+) -> DataFrame:
     lines = keep_selected(star.orders, selection or {})
     lines = keep_known(lines, spec.not_null)
     for column, value in spec.only:
@@ -217,17 +316,10 @@ def run_report(
             located = lines.join(places, "restaurant_id")
             if not spec.keep_null_keys:
                 located = keep_known(located, wanted)
-            result = _one_step(located, spec, approx_distinct)
-        else:
-            result = _two_step(lines, spec, places)
-    elif spec.carry:
-        result = _two_step(lines, spec, None)
-    elif spec.dims and approx_distinct is None and _distinct_measures(spec) > 1:
-        result = _split_distinct(lines, spec)
-    else:
-        result = _one_step(lines, spec, approx_distinct)
-
-    n = limit if limit is not None else spec.limit
-    if spec.order:
-        result = result.orderBy(*ordering(spec.order, spec.dims))
-    return result if n is None else result.limit(n)
+            return _one_step(located, spec, approx_distinct)
+        return _two_step(lines, spec, places)
+    if spec.carry:
+        return _two_step(lines, spec, None)
+    if spec.dims and approx_distinct is None and _distinct_measures(spec) > 1:
+        return _split_distinct(lines, spec)
+    return _one_step(lines, spec, approx_distinct)

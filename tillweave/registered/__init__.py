@@ -11,6 +11,7 @@ from tillweave.registered import (  # noqa: F401
     questions,
     scenario,
 )
+from tillweave.registered import cubes  # noqa: F401, E402, I001
 from tillweave.registered.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
