@@ -116,6 +116,16 @@ def test_odd_vectors(spark):
     assert [tuple(r) for r in product_quantiser.linked(bad).collect()] == [(1, 0, 1)]
 
 
+def test_vectors_of_several_lengths_and_lists(spark, monkeypatch):
+    monkeypatch.setattr(product_quantiser, "BLOCK", 40)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 6))
+    near = centres[rng.integers(0, 12, 300)] + 0.12 * rng.normal(size=(300, 6))
+    rows = [[float(x) for x in v] for v in near] + [[1.0, 0.0, 0.1], [1.0, 0.0, 0.1], [1.0, 0.0, 0.0], [2.0], [3.0]]
+    rows += rows[:30] + [rows[0]] * 50
+    _check_vectors(spark, list(enumerate(rows)))
+
+
 # --- conversations ---------------------------------------------------------------------------
 
 
