@@ -25,6 +25,9 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+#: Lines of a written CSV file.  A file whose quoted fields hold line ends is read by one task.
+FILE_LINES = 250_000
+
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """The column names in the first line; only that line is read."""
@@ -81,7 +84,11 @@ def read_csv_inferred(spark: SparkSession, path: str, line_ends: bool = False) -
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that `read_csv` reads back unchanged; a text equal to the null mark is an error."""
+    """CSV that `read_csv` reads back unchanged; a text equal to the null mark is an error.
+
+    A task writes several files, none of more than ``FILE_LINES`` lines, so that
+    reading does not depend on how much a task had to write.
+    """
     checked = {
         f.name: F.when(
             F.col(f.name) == NULL_MARK, F.raise_error(F.lit(f"null mark as text in {f.name}"))
@@ -89,7 +96,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         for f in df.schema.fields
         if isinstance(f.dataType, T.StringType)
     }
-    options = {**_CSV, "emptyValue": '""'}
+    options = {**_CSV, "emptyValue": '""', "maxRecordsPerFile": str(FILE_LINES)}
     df.withColumns(checked).write.mode("overwrite").options(**options).csv(path)
 
 
