@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillweave.operators.cube import write_cube
+from tillweave.operators import distinct_sets as distinct_sets_module
 from tillweave.operators.distinct_sets import FEW, count_members, distinct_sets
 from tillweave.operators.star import Star
 from tillweave.plans.catalogue import CATALOGUE
@@ -136,3 +137,21 @@ def test_what_a_cube_does_not_hold_comes_from_the_lines(stars):
     assert _answering(CATALOGUE["dash_kpis"], cubed, {"time_of_day": ["AM"]}) is None
     assert _answering(CATALOGUE["dash_kpis"], cubed, {"time_of_day": []})
     assert run_report(spec, cubed).count() == 2
+
+
+def test_values_are_ordered_by_a_number_and_not_by_their_whole_key(spark, monkeypatch):
+    seen = []
+
+    def spy(df, order, *rest, **named):
+        seen.append((df.schema, list(order)))
+        return distinct_sets_module.number_rows_before(df, order, *rest, **named)
+
+    monkeypatch.setattr(distinct_sets_module, "number_rows_before", distinct_sets_module.number_rows, raising=False)
+    monkeypatch.setattr(distinct_sets_module, "number_rows", spy)
+    rows = spark.createDataFrame([("a", None, 1), (None, "a", 1), ("b", "x", 2)], "k string, m string, v long")
+    sets = distinct_sets_module.distinct_sets(rows, ["k", "m"], "v")
+    assert seen[0][1] == ["_least", "v"] and seen[0][0]["_least"].dataType.typeName() == "long"
+    # Keys of like hash are keys of their own.
+    assert sorted((r.k or "", r.m or "", len(r.places)) for r in sets.collect()) == [
+        ("", "a", 1), ("a", "", 1), ("b", "x", 1),
+    ]
