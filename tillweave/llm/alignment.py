@@ -30,9 +30,11 @@ from tillweave.llm import words as W
 from tillweave.llm.tables import stored
 
 #: Bytes of text in a lot; one longer text is a lot alone.
-LOT_BYTES = 2 << 20
+LOT_BYTES = 1 << 20
 #: Bytes of distinct stretches that are encoded as one text.
 RUN_BYTES = 1 << 14
+#: Runs that are encoded in one call; what the tokenizers hold for them is many times their text.
+CALL_RUNS = 8
 #: Links of a group beyond which they are counted by distinct ids.
 WIDE_GROUP = 1 << 12
 
@@ -185,14 +187,18 @@ class Aligner:
                     b"".join(map(self.bytes_a.__getitem__, a)) == was
                     and b"".join(map(self.bytes_b.__getitem__, b)) == was
                 ):
-                    out_a.append(np.array(a, np.int64))
-                    out_b.append(np.array(b, np.int64))
+                    out_a.append(np.array(a, np.int32))
+                    out_b.append(np.array(b, np.int32))
                 elif j - i > 1:
-                    encode([(k, k + 1) for k in range(i, j)])
+                    encode_all([(k, k + 1) for k in range(i, j)])
                 else:
                     bad[i] = True
 
-        encode(self._runs(data, bounds))
+        def encode_all(runs: list[tuple[int, int]]) -> None:
+            for at in range(0, len(runs), CALL_RUNS):
+                encode(runs[at : at + CALL_RUNS])
+
+        encode_all(self._runs(data, bounds))
         return out_a, out_b, bad
 
     def lot(self, texts: pa.Array, of_groups: Callable[[str], str]) -> dict[str, object]:
@@ -374,10 +380,14 @@ def lots(
             made = with_both.lot(batch.column(1), of_groups)
             row = {"lot": task << _ID_BITS | number, "doc_ids": batch.column(0).to_pylist(), **made}
             number += 1
-            yield pa.RecordBatch.from_arrays(
+            made = None
+            out = pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(row.values(), _LOT_TYPES.values())],
                 names=list(_LOT_TYPES),
             )
+            row = None
+            W.return_memory()
+            yield out
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, _LOT_SCHEMA), "aligned-lots")
 
