@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import gc
+import tracemalloc
+import weakref
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.helpers import ODD_TEXTS, tokens, words
-from tillweave.llm import frames
+from tillweave.llm import anchors, frames, token_files, toxicity
 from tillweave.llm import words as W
 from tillweave.llm.fm_index import FMIndex, WaveletTree, suffix_order
 from tillweave.llm.forest import DisjointSets, spanning_links
+from tillweave.llm.q03_tokens import default_tokenizer
 
 
 def _split(texts, table):
@@ -104,3 +109,35 @@ def test_spanning_links_connect_what_is_near():
         for a, b in zip(*np.nonzero(near)):
             want.join(int(a), n + int(b))
         assert got.roots().tolist() == want.roots().tolist()
+
+
+def test_a_worker_keeps_an_encoder_only_between_its_own_tasks():
+    path = default_tokenizer()
+    encoder = weakref.ref(token_files.piece_encoder(path))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b"])], names=["text"])
+    assert list(W.gathered([batch], keeps=path))
+    gc.collect()
+    assert encoder() is token_files.piece_encoder(path)
+    # A task of another operator runs in the same worker.
+    assert list(W.gathered([batch]))
+    gc.collect()
+    assert encoder() is None
+
+
+def _most_held(step, texts, size):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        for chunk in W.gathered([batch], size=size):
+            step(chunk.column(0))
+        return tracemalloc.get_traced_memory()[1] >> 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_fingerprints_and_scores_hold_little_at_once():
+    texts = [" ".join(f"w{(i * j) % 9973}" for j in range(200)) for i in range(8000)]
+    assert _most_held(anchors.fingerprints, texts, anchors.HASHED_BYTES) < 40
+    model = toxicity.Model({"idiot": 2.0}, (-3.0, 0.3, 0.3))
+    scores = _most_held(lambda t: toxicity._scores(t, model), texts, toxicity.SCORED_BYTES)
+    assert scores < 40

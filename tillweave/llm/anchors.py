@@ -34,7 +34,7 @@ PARITY = 4
 #: Fingerprints that one comparing task holds of an anchor; hotter anchors are split.
 HELD = 1 << 15
 #: Bytes of text hashed at once; each shingle takes some hundred bytes meanwhile.
-HASHED_BYTES = 2 << 20
+HASHED_BYTES = 1 << 19
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -237,6 +237,8 @@ def _compare(distance: int):
             small.append((np.concatenate(homes), np.concatenate(copies)))
         if small:
             yield batch_of(links_of(small))
+            small = []
+        W.return_memory()
 
     return compare
 

@@ -158,14 +158,9 @@ class PieceEncoder:
         return out, counts
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def piece_encoder(path: str) -> PieceEncoder:
     """One encoder per worker process and tokenizer."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return W.kept(path, lambda: PieceEncoder(path))
 
 
 def _segment_batch(shard, number, doc_ids, lengths, ids) -> pa.RecordBatch:
@@ -200,7 +195,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
         doc_ids: list = []
         lengths: list = []
         ids: list = []
-        for batch in W.gathered(batches, size=CHUNK_BYTES):
+        for batch in W.gathered(batches, size=CHUNK_BYTES, keeps=tokenizer):
             coded, counts = encoder.encode(batch.column(1), end_id)
             ends = np.cumsum(counts)
             names = batch.column(0).to_pylist()
@@ -255,6 +250,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files at ``path``: doc_id, start, n_tokens, ids_crc32."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        W.drop_kept()
         for batch in batches:
             for row in range(batch.num_rows):
                 shard, segment, doc_ids, lengths, starts, blocks = (

@@ -43,6 +43,8 @@ STEM_SIGNS = range(3, 9)
 #: Sample texts whose SimHashes differ in so few bits are copies.
 COPY_BITS = 10
 THRESHOLD = 0.3
+#: Bytes of text scored at once; the arrays over them take some thirty times as much.
+SCORED_BYTES = 2 << 20
 
 #: Terms of so many signs may be misspelled by one sign, longer ones by two.
 FUZZY_FROM = 5
@@ -582,7 +584,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.gathered(batches):
+        for batch in W.gathered(batches, size=SCORED_BYTES):
             found = _scores(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found)], names=["doc_id", "score"]
@@ -594,4 +596,6 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def tolerable(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score stays below ``threshold``, columns as given."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return W.rows_where(docs, lambda texts: _scores(texts, shared.value) < threshold)
+    return W.rows_where(
+        docs, lambda texts: _scores(texts, shared.value) < threshold, size=SCORED_BYTES
+    )

@@ -10,6 +10,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +116,37 @@ def chunks(
             start = stop
 
 
+#: What this worker process keeps from one task to the next.
+_KEPT: dict[str, Any] = {}
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once and kept by this worker; tasks that use it name it to ``gathered``."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def drop_kept(but: str | None = None) -> None:
+    """Forget what tasks of another operator have kept: its worker is now this one's."""
+    others = [name for name in _KEPT if name != but]
+    for name in others:
+        del _KEPT[name]
+    if others:
+        return_memory()
+
+
 def gathered(
-    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES
+    batches: Iterable[pa.RecordBatch],
+    column: str = "text",
+    size: int = CHUNK_BYTES,
+    keeps: str | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Small batches joined and large ones cut, each about ``size`` bytes of text."""
+    """Small batches joined and large ones cut, each about ``size`` bytes of text.
+
+    Of what this worker has ``kept``, only ``keeps`` stays.
+    """
+    drop_kept(keeps)
     held: list[pa.RecordBatch] = []
     taken = 0
     for batch in chunks(batches, column, size):
@@ -161,12 +189,15 @@ def per_chunk(
 
 
 def rows_where(
-    docs: DataFrame, keep: Callable[[pa.Array], np.ndarray], column: str = "text"
+    docs: DataFrame,
+    keep: Callable[[pa.Array], np.ndarray],
+    column: str = "text",
+    size: int = CHUNK_BYTES,
 ) -> DataFrame:
     """The rows of ``docs`` whose text ``keep`` says True of; all columns as given, no join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, column):
+        for batch in gathered(batches, column, size):
             texts = batch.column(batch.schema.get_field_index(column))
             yield batch.filter(pa.array(keep(texts), pa.bool_()))
 
