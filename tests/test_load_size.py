@@ -48,6 +48,24 @@ def test_lines_are_not_sorted_for_the_write(spark, make_lines):
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
+def test_nothing_is_counted_row_by_row_on_the_way_to_the_files(spark, make_lines, monkeypatch):
+    def observe(*_):
+        raise AssertionError("each row passes an accumulator of all counts")
+
+    monkeypatch.setattr(type(spark.range(1)), "observe", observe)
+    folder = scratch_path(spark, "counted")
+    lines = make_lines(
+        {"chain": "a", "gender": None}, {"chain": "b", "gender": None}, {"chain": None}, {"chain": "b"}
+    )
+    W.write_star(spark, lines, folder)
+    log = {r.metric: r.value for r in W.load_log(spark, folder).collect()}
+    assert log["rows"] == 4 and log["unknown_money"] == 0
+    assert log["nulls_gender"] == lines.where("gender IS NULL").count() >= 2
+    assert log["nulls_chain"] == 1
+    for name in lines.columns:
+        assert log[f"nulls_{name}"] == lines.where(F.col(name).isNull()).count(), name
+
+
 def test_csv_files_have_bounded_length(spark, monkeypatch):
     monkeypatch.setattr(Feeds, "FILE_LINES", 10)
     path = scratch_path(spark, "short-files")
