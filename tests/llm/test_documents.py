@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -93,6 +94,77 @@ def test_pieces_give_the_tokenizers_ids():
         assert ids[end - count : end].tolist() == want, text
 
 
+class _Counted:
+    """A tokenizer that counts how often it is given some words."""
+
+    def __init__(self, tokenizer, words):
+        self.tokenizer, self.words, self.given = tokenizer, set(words), 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def _count(self, text):
+        self.given += sum(w in self.words for w in re.split("[^a-z]+", text))
+
+    def encode(self, text, **options):
+        self._count(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        for text in texts:
+            self._count(text)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_common_pieces_are_encoded_once(monkeypatch):
+    def letters(n):
+        return "q" + "".join(chr(97 + int(d)) for d in str(n))
+
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 1000)
+    common = [letters(i) for i in range(300)]
+    encoder = token_files.PieceEncoder(default_tokenizer())
+    whole = encoder.tokenizer
+    encoder.tokenizer = counted = _Counted(whole, common)
+    for chunk in range(30):
+        rare = [letters(1000 * (chunk + 1) + i) for i in range(300)]
+        text = " ".join(common + rare)
+        ids, _ = encoder.encode(pa.array([text]), 2)
+        assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 2]
+    assert counted.given == len(common)
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_pieces_found_again_have_their_own_ids(monkeypatch, alike):
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 200)
+    if alike:
+        hashes = token_files._hashes
+        monkeypatch.setattr(token_files, "_hashes", lambda d, b: hashes(d, b) % np.uint64(3))
+    encoder = token_files.PieceEncoder(default_tokenizer())
+    signs = [*"abYZ01 .'<\x00\x01\n", "\u00a0", "\u0301", "\u0130", *"ñÑßŉſдЖÉ中", "<|endoftext|>"]
+    pick = random.Random(5)
+    for _ in range(40):
+        some = ["".join(pick.choice(signs) for _ in range(pick.randint(0, 9))) for _ in range(60)]
+        some += [None, "", "a" * 300]
+        ids, counts = encoder.encode(pa.array(some), 2)
+        ends = np.cumsum(counts)
+        for text, end, count in zip(some, ends, counts):
+            want = [*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+            assert ids[end - count : end].tolist() == want, text
+
+
+def test_letters_that_share_a_call_are_one_word_each():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    letters = [chr(c) for c in range(0x250, 0x500)] + [chr(c) for c in range(0x250)]
+    letters = [c for c in letters if re.search(token_files._WORD, c)]
+    assert len(letters) > 300
+    for c in letters:
+        for text in (c, f"a{c}b", c + c):
+            text = tokenizer.normalizer.normalize_str(text)
+            assert len(tokenizer.pre_tokenizer.pre_tokenize_str(text)) == 1, text
+
+
 def test_another_tokenizer_gets_whole_texts():
     import public_tokenizers
     import pyarrow as pa

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,8 +28,10 @@ from tillweave.session import scratch_path
 
 #: A segment is closed at the end of the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 18
-#: Pieces of text whose ids a worker keeps; beyond that it starts anew.
-CACHE_PIECES = 250_000
+#: Pieces of text whose ids a worker keeps; beyond that it keeps the half that more chunks hold.
+CACHE_PIECES = 400_000
+#: Pieces that go through one call of the tokenizer.
+LOT_PIECES = 1_000
 #: Bytes of text that are encoded at once; one longer text is encoded alone.
 CHUNK_BYTES = 2 << 20
 
@@ -42,6 +45,10 @@ SEGMENT_SCHEMA = (
 _KIND = np.zeros(256, np.uint8)
 _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 _KIND[[ord(c) for c in '.,;:!?"()*%&$#@/+=_~[]{}-\\^`']] = 2
+#: A sign that is a word of its own between spaces, and rare in texts.
+_PART = "\x01"
+#: Letters only, all of them still one letter when composed and lower-cased: no \u0130.
+_WORD = "^[A-Za-zÀ-ÖØ-öø-įı-žА-Яа-яЁё]+$"
 _LOWER = W.SPACED
 _AS_IS = W.byte_table([0x20, *range(0x09, 0x0E)], lower=False)
 
@@ -64,65 +71,168 @@ def cuts_alike(path: str) -> bool:
     )
 
 
+def _hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each piece; pieces are not empty."""
+    lengths = np.diff(bounds)
+    powers = np.cumprod(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64))
+    terms = powers[W.ragged(np.zeros(len(lengths), np.int64), lengths)]
+    terms *= data + np.uint64(1)
+    return np.add.reduceat(terms, bounds[:-1]) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _picked(values: np.ndarray, bounds: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of some runs, one after another, and their bounds."""
+    lengths = np.diff(bounds)[some]
+    return values[W.ragged(bounds[some], lengths)], np.append(0, np.cumsum(lengths))
+
+
+class PieceTable:
+    """Pieces and their ids in flat arrays, found by hash and then compared byte by byte.
+
+    Piece i has ``ids[id_bounds[i]:id_bounds[i + 1]]`` and was asked for in
+    ``uses[i]`` chunks, of which every ``thin`` forgets half.
+    """
+
+    def __init__(self) -> None:
+        self.text, self.text_bounds = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.id_bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.hashes, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self._sort()
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def _sort(self) -> None:
+        self.order = np.argsort(self.hashes).astype(np.int32)
+
+    def find(self, data: np.ndarray, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Place of each piece, -1 where it is not held.
+
+        Of several pieces that share a hash only one is found; the others count as new each time.
+        """
+        place = np.full(len(hashes), -1, np.int64)
+        if not len(self):
+            return place
+        at = np.searchsorted(self.hashes, hashes, sorter=self.order)
+        near = self.order[np.minimum(at, len(self) - 1)].astype(np.int64)
+        lengths = np.diff(bounds)
+        alike = np.flatnonzero(
+            (self.hashes[near] == hashes) & (np.diff(self.text_bounds)[near] == lengths)
+        )
+        if len(alike):
+            held, own = _picked(self.text, self.text_bounds, near[alike])
+            equal = held == _picked(data, bounds, alike)[0]
+            alike = alike[np.logical_and.reduceat(equal, own[:-1])]
+            place[alike] = near[alike]
+        return place
+
+    def add(self, data, bounds, hashes, ids, lengths) -> np.ndarray:
+        """Takes pieces in, with the ids of each; their places."""
+        before = len(self)
+        self.text = np.concatenate([self.text, data])
+        self.text_bounds = np.concatenate([self.text_bounds, self.text_bounds[-1] + bounds[1:]])
+        self.ids = np.concatenate([self.ids, ids])
+        self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(lengths)])
+        ranks = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[ranks], sorter=self.order)
+        self.order = np.insert(self.order, at, (before + ranks).astype(np.int32))
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(hashes), np.int32)])
+        return np.arange(before, len(self))
+
+    def thin(self, size: int) -> None:
+        """Keeps the ``size`` pieces that most chunks asked for."""
+        if len(self) <= size:
+            return
+        kept = np.sort(np.argpartition(-self.uses, size)[:size])
+        self.text, self.text_bounds = _picked(self.text, self.text_bounds, kept)
+        self.ids, self.id_bounds = _picked(self.ids, self.id_bounds, kept)
+        self.hashes, self.uses = self.hashes[kept], self.uses[kept] // 2
+        self._sort()
+
+
 class PieceEncoder:
     """Encodes texts by way of their distinct pieces.
 
     The tokenizer cuts a text at white space and between letters and other
     signs before it looks at tokens, so the ids of a text are the ids of its
-    pieces in order, and each distinct piece is given to the tokenizer once.
-    Pieces are lowered first, as the tokenizer does itself, unless the text may
-    hold a special token, whose case counts.  A tokenizer that works otherwise
-    is given whole texts.
+    pieces in order, and each distinct piece is given to the tokenizer once, as
+    long as it is kept.  Pieces are lowered first, as the tokenizer does itself,
+    unless the text may hold a special token, whose case counts.  A tokenizer
+    that works otherwise is given whole texts.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_pieces = cuts_alike(path)
-        # A special token is cut out of a text before anything else is done to it.
-        marks = [
-            (t.content.encode(), i)
-            for i, t in self.tokenizer.get_added_tokens_decoder().items()
-            if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)
-        ]
-        self.mark, self.mark_id = marks[0] if marks else (None, None)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        got = self._encode_pieces(pieces)
-        ids = np.concatenate([x for x, _ in got])
-        lengths = np.concatenate([n for _, n in got])
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.ids = np.concatenate([self.ids, ids])
-
-    def _encode_pieces(self, pieces: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids and their number per piece; many pieces go through one call, parted by a mark."""
-        if self.mark is None or any(self.mark in p for p in pieces):
-            coded = self.tokenizer.encode_batch_fast(
-                [p.decode("utf-8") for p in pieces], add_special_tokens=False
-            )
-            return [(np.array(c.ids, np.uint32), np.array([len(c.ids)])) for c in coded]
-        lots = [
-            self.mark.join(pieces[i : i + 1000]).decode("utf-8")
-            for i in range(0, len(pieces), 1000)
-        ]
-        out = []
-        for lot in lots:
-            ids = np.array(self.tokenizer.encode(lot, add_special_tokens=False).ids, np.uint32)
-            at = np.flatnonzero(ids == self.mark_id)
-            ends = np.append(at, len(ids))
-            out.append((np.delete(ids, at), np.diff(ends, prepend=-1) - 1))
-        return out
+        self.table = PieceTable()
+        # The id of the parting sign, which is a word of its own between spaces.
+        parting = self.tokenizer.encode(_PART, add_special_tokens=False).ids
+        self.part_id = parting[0] if len(parting) == 1 else None
+        # Tokens that end a word, where each byte has one and so each word ends with one.
+        self.ends = None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        if suffix and all(c + suffix in vocabulary for c in pre_tokenizers.ByteLevel.alphabet()):
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, np.uint32) for c in coded]
+
+    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of the pieces, their ids in this order, and the number of ids of each.
+
+        Many pieces go through one call: words of letters with spaces between them, the others
+        parted by a sign as well, which stands in none of them.
+        """
+        texts = pieces.cast(pa.large_string())
+        words = np.zeros(len(texts), bool)
+        if self.ends is not None:
+            words = pc.match_substring_regex(texts, _WORD).to_numpy(zero_copy_only=False)
+        alone = np.ones(len(texts), bool)
+        if self.part_id is not None:
+            alone = pc.match_substring(texts, _PART).to_numpy(zero_copy_only=False)
+        groups = [np.flatnonzero(g) for g in (words, ~words & ~alone, ~words & alone)]
+        ids, lengths = [], []
+        for group, part in zip(groups, (" ", f" {_PART} ", None)):
+            own = texts.take(pa.array(group)).to_pylist()
+            if part is None:
+                for found in self._ids(own):
+                    ids.append(found)
+                    lengths.append([len(found)])
+                continue
+            for start in range(0, len(own), LOT_PIECES):
+                (found,) = self._ids([part.join(own[start : start + LOT_PIECES])])
+                if part == " ":
+                    lengths.append(np.diff(np.flatnonzero(self.ends[found]), prepend=-1))
+                else:
+                    at = np.flatnonzero(found == self.part_id)
+                    lengths.append(np.diff(np.append(at, len(found)), prepend=-1) - 1)
+                    found = np.delete(found, at)
+                ids.append(found)
+        return np.concatenate(groups), np.concatenate(ids), np.concatenate(lengths)
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each of some distinct pieces stands in the table, which learns the new ones."""
+        if len(self.table) > CACHE_PIECES:
+            self.table.thin(CACHE_PIECES // 2)
+        if not len(pieces):
+            return np.zeros(0, np.int64)
+        data, bounds = W.raw_bytes(pieces)
+        hashes = _hashes(data, bounds)
+        place = self.table.find(data, bounds, hashes)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            order, ids, lengths = self._encode_pieces(pieces.take(pa.array(new)))
+            new = new[order]
+            place[new] = self.table.add(*_picked(data, bounds, new), hashes[new], ids, lengths)
+        self.table.uses[place] += 1
+        return place
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with ``end_id`` after each text, and the number of ids of each text."""
@@ -140,22 +250,16 @@ class PieceEncoder:
             edge[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
         special = b"<|" in data.tobytes()
         cut = W.cut(data, bounds, _AS_IS if special else _LOWER, edge)
-        pieces = cut.dictionary.to_pylist()
-        if len(self.known) > CACHE_PIECES:
-            self._reset()
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            self._learn(new)
-        place = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))[cut.codes]
-        lengths = self.lengths[place]
-        through = np.append(0, np.cumsum(lengths))
-        counts = through[cut.first[1:]] - through[cut.first[:-1]] + 1
-        ends = np.cumsum(counts) - 1
-        out = np.full(int(counts.sum()), end_id, np.uint32)
-        body = np.ones(len(out), bool)
-        body[ends] = False
-        out[body] = self.ids[W.ragged(self.starts[place], lengths)]
-        return out, counts
+        place = self._places(cut.dictionary)
+        # The end id is one more piece, after the last one of each text.
+        ids = np.append(self.table.ids, np.uint32(end_id))
+        starts = np.append(self.table.id_bounds[place], len(ids) - 1)
+        lengths = np.append(np.diff(self.table.id_bounds)[place], 1)
+        codes = np.insert(cut.codes, cut.first[1:], len(place))
+        sizes = lengths[codes]
+        last = np.flatnonzero(codes == len(place))
+        counts = np.diff(np.cumsum(sizes)[last], prepend=0)
+        return ids[W.ragged(starts[codes], sizes)], counts
 
 
 def piece_encoder(path: str) -> PieceEncoder:
