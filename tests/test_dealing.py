@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import random
 
 import pytest
@@ -95,3 +96,33 @@ def test_projection_deals_lines_out_by_range(spark, make_lines, many):
     assert projected.columns == lines.columns
     ids = {r.row_ordinal: r.customer_id for r in projected.collect()}
     assert [ids[i] for i in (0, 3, 57, 1, 59)] == ["N000000", "N000001", "N000019", "south000000", "south000039"]
+
+
+def test_customers_of_one_line_each_are_not_shuffled(spark, make_lines, many, monkeypatch):
+    rng = random.Random(8)
+    rows = [
+        {
+            "customer_id": rng.choice([None, *(f"c{i}" for i in range(150))]),
+            "gender": rng.choice(["F", "M", None]),
+            "row_ordinal": rng.choice([None, *range(40)]),
+            "feed_rank": rng.choice([0, 1]),
+        }
+        for _ in range(400)
+    ]
+    lines = make_lines(*rows)
+    seen, first_rows = [], D.customer_dimension
+
+    def spy(stored):
+        seen.append(plan_of(first_rows(stored)))
+        return first_rows(stored)
+
+    want = sorted(D.customer_dimension(lines).collect(), key=repr)
+    monkeypatch.setattr(D, "customer_dimension", spy)
+    star = W.write_star(spark, lines, folder := scratch_path(spark, "customers"))
+    assert "Exchange" not in seen[0]
+    assert sorted(star.customers.collect(), key=repr) == want
+    # What was dealt out is removed once the dimension is stored.
+    assert not glob.glob(f"{folder}/versions/*/dealt")
+    # Tasks combine the lines of a hot customer, who would be a partition's only one.
+    W.write_star(spark, make_lines(*[{}] * 40), scratch_path(spark, "customers"))
+    assert "Exchange" in seen[1]
