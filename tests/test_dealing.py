@@ -12,7 +12,9 @@ from tillweave.operators import dealing
 from tillweave.operators import scenario as Sc
 from tillweave.operators import star as D
 from tillweave.operators.positions import number_rows
+from tillweave.registered import base as R
 from tillweave.session import scratch_path
+from tillweave.sources import sample_tables as B
 from tillweave.sources import warehouse as W
 
 
@@ -126,3 +128,27 @@ def test_customers_of_one_line_each_are_not_shuffled(spark, make_lines, many, mo
     # Tasks combine the lines of a hot customer, who would be a partition's only one.
     W.write_star(spark, make_lines(*[{}] * 40), scratch_path(spark, "customers"))
     assert "Exchange" in seen[1]
+
+
+def test_load_moves_lines_joined_to_their_orders_through_files(spark, sf_dir, monkeypatch):
+    def loaded():
+        star = R.load_star(spark, sf_dir)
+        return [sorted(t.collect(), key=repr) for t in (star.lines, star.restaurants, star.products, star.customers)]
+
+    want = loaded()
+    folder = scratch_path(spark, "lines")
+    assert B.lines_by_part(spark, sf_dir, folder) is None
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(dealing, "FROM_ROWS", 1)
+    try:
+        # Parts that are sent to every task need no lines dealt out.
+        assert B.lines_by_part(spark, sf_dir, folder) is None
+        spark.conf.set(key, "-1")
+        joined = B.lines_by_part(spark, sf_dir, folder)
+        plan = plan_of(B.raw_feed(spark, sf_dir, B.FEED_A, joined=joined))
+        assert "l_orderkey" in joined.columns and "hashpartitioning(l_" not in plan
+        assert "hashpartitioning(l_partkey" in plan_of(B.raw_feed(spark, sf_dir, B.FEED_A))
+        assert loaded() == want
+    finally:
+        spark.conf.set(key, before)
