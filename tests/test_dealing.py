@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillweave.operators import dealing
+from tillweave.operators import distinct_sets as distinct_sets_module
 from tillweave.operators import scenario as Sc
 from tillweave.operators import star as D
+from tillweave.operators.cube import write_cube
+from tillweave.operators.distinct_sets import count_members
 from tillweave.operators.positions import number_rows
 from tillweave.registered import base as R
 from tillweave.session import scratch_path
@@ -130,6 +133,61 @@ def test_customers_of_one_line_each_are_not_shuffled(spark, make_lines, many, mo
     assert "Exchange" in seen[1]
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "m"]])
+def test_dealt_pairs_give_the_sets_that_shuffled_ones_give(spark, monkeypatch, keys):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, *"abcdefghij"]), rng.randrange(3), rng.choice([None, *range(6000)])) for _ in range(9000)]
+    df = saved(spark, spark.createDataFrame(rows, "k string, m int, v int"), "pairs")
+    monkeypatch.setattr(distinct_sets_module, "FEW", 270)
+
+    def held():
+        sets = saved(spark, distinct_sets_module.distinct_sets(df, keys, "v"), "sets")
+        assert sets.where("places IS NOT NULL AND bits IS NOT NULL").isEmpty()
+        places = F.sort_array("places")
+        return sorted((tuple(r) for r in sets.withColumn("places", places).collect()), key=repr)
+
+    want = held()
+    monkeypatch.setattr(dealing, "FROM_ROWS", 1)
+    dealt = []
+    monkeypatch.setattr(dealing, "dealt", lambda *a, f=dealing.dealt: dealt.append(a) or f(*a))
+    assert held() == want and len(dealt) == 2
+    assert {r[-2] is None for r in want} == ({True, False} if keys == ["k", "m"] else {True})
+    # Without a bitmap among them.
+    monkeypatch.setattr(distinct_sets_module, "FEW", 1 << 15)
+    assert all(r[-1] is None for r in held())
+
+
+def test_cells_of_a_line_each_are_dealt_and_not_combined(spark, make_lines, many, monkeypatch):
+    rng = random.Random(10)
+    rows = [
+        {
+            "restaurant_id": rng.choice([None, *range(300)]),
+            "season": rng.choice(["Fall", "Spring", None]),
+            "quantity": rng.choice([None, 1, 2]),
+            "order_number": rng.choice([None, *range(150)]),
+        }
+        for _ in range(500)
+    ]
+    lines = saved(spark, make_lines(*rows), "lines")
+    keys, measures = ["season", "restaurant_id"], ["profit", "quantity"]
+    dealt = []
+    monkeypatch.setattr(dealing, "dealt", lambda *a, f=dealing.dealt: dealt.append(a[2]) or f(*a))
+
+    def cells(folder):
+        cube = write_cube(lines, keys, measures, ["order_number"], folder)
+        counts = count_members(cube.sets["order_number"], keys, "n")
+        return [sorted(df.collect(), key=repr) for df in (cube.cells, counts)]
+
+    got = cells(folder := scratch_path(spark, "cube"))
+    assert len(dealt) == 3 and dealt[0] == f"{folder}/dealt" and not glob.glob(dealt[0])
+    monkeypatch.setattr(dealing, "FROM_ROWS", 1_000_000)
+    assert got == cells(scratch_path(spark, "cube")) and len(dealt) == 3
+    # Tasks combine the lines of a few cells.
+    monkeypatch.setattr(dealing, "FROM_ROWS", 1)
+    write_cube(lines, ["season"], measures, [], scratch_path(spark, "cube"))
+    assert len(dealt) == 3
+
+
 def test_load_moves_lines_joined_to_their_orders_through_files(spark, sf_dir, monkeypatch):
     def loaded():
         star = R.load_star(spark, sf_dir)
