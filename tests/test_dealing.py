@@ -15,7 +15,6 @@ from tillweave.operators import star as D
 from tillweave.operators.cube import write_cube
 from tillweave.operators.distinct_sets import count_members
 from tillweave.operators.positions import number_rows
-from tillweave.registered import base as R
 from tillweave.session import scratch_path
 from tillweave.sources import sample_tables as B
 from tillweave.sources import warehouse as W
@@ -188,25 +187,13 @@ def test_cells_of_a_line_each_are_dealt_and_not_combined(spark, make_lines, many
     assert len(dealt) == 3
 
 
-def test_load_moves_lines_joined_to_their_orders_through_files(spark, sf_dir, monkeypatch):
-    def loaded():
-        star = R.load_star(spark, sf_dir)
-        return [sorted(t.collect(), key=repr) for t in (star.lines, star.restaurants, star.products, star.customers)]
-
-    want = loaded()
-    folder = scratch_path(spark, "lines")
-    assert B.lines_by_part(spark, sf_dir, folder) is None
+def test_the_order_key_goes_to_the_parts_once(spark, sf_dir):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
-    monkeypatch.setattr(dealing, "FROM_ROWS", 1)
+    spark.conf.set(key, "-1")
     try:
-        # Parts that are sent to every task need no lines dealt out.
-        assert B.lines_by_part(spark, sf_dir, folder) is None
-        spark.conf.set(key, "-1")
-        joined = B.lines_by_part(spark, sf_dir, folder)
-        plan = plan_of(B.raw_feed(spark, sf_dir, B.FEED_A, joined=joined))
-        assert "l_orderkey" in joined.columns and "hashpartitioning(l_" not in plan
-        assert "hashpartitioning(l_partkey" in plan_of(B.raw_feed(spark, sf_dir, B.FEED_A))
-        assert loaded() == want
+        rows = plan_of(B.raw_feed(spark, sf_dir, B.FEED_A)).splitlines()
     finally:
         spark.conf.set(key, before)
+    moved = [below for row, below in zip(rows, rows[1:]) if "Exchange hashpartitioning(l_partkey" in row]
+    assert moved and all("l_orderkey" in row and "o_orderkey" not in row for row in moved)
